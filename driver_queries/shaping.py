@@ -23,12 +23,16 @@ def csv_roundtrip(spark, sf_dir):
     return readers.read_csv(spark, path, customers.schema)
 
 
-@query("parquet_roundtrip", "SELECT * FROM orders")
+@query(
+    "parquet_roundtrip",
+    "SELECT * REPLACE (CAST(o_orderdate AS VARCHAR) AS o_orderdate) FROM orders",
+)
 def parquet_roundtrip(spark, sf_dir):
     orders = read(spark, sf_dir, "orders")
     path = staging_path(spark, "orders_parquet")
     sinks.write_parquet(orders, path, partition_by=["o_orderstatus"])
-    return readers.read_table(spark, path, "parquet", orders.schema)
+    back = readers.read_table(spark, path, "parquet", orders.schema)
+    return back.withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
 
 
 @query(
@@ -184,7 +188,7 @@ def schema_inspect(spark, sf_dir):
     """SELECT l_orderkey, l_linenumber, l_quantity, nullif(l_tax, 0) AS l_tax,
          CAST('0x' || substr(md5(l_orderkey || '|' || l_linenumber || '|' || l_partkey), 1, 15)
               AS BIGINT) AS "ID",
-         DATE '2024-01-01' AS "Processing_Date", 'v1.0' AS "Processing_Version",
+         '2024-01-01' AS "Processing_Date", 'v1.0' AS "Processing_Version",
          CASE WHEN l_tax = 0 THEN 75 ELSE 100 END AS "Data_Quality_Score"
        FROM lineitem""",
 )
@@ -196,12 +200,13 @@ def add_metadata(spark, sf_dir):
         "l_quantity",
         F.nullif("l_tax", F.lit(0.0)).alias("l_tax"),
     )
-    return shape.add_metadata(
+    stamped = shape.add_metadata(
         items,
         processing_date=date(2024, 1, 1),
         id_columns=["l_orderkey", "l_linenumber", "l_partkey"],
         score_columns=["l_orderkey", "l_linenumber", "l_quantity", "l_tax"],
     ).drop("l_partkey")
+    return stamped.withColumn("Processing_Date", F.col("Processing_Date").cast("string"))
 
 
 @query(

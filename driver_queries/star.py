@@ -185,6 +185,15 @@ def raw_yield(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sold_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line item quantities by part brand."""
+    return (
+        read(spark, sf_dir, "lineitem")
+        .join(read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        .select(F.col("p_brand").alias("Crop"), "l_quantity")
+    )
+
+
 def country_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order statistics per nation and year, summed in whole cents, so sums are exact."""
 
