@@ -8,6 +8,7 @@ from driver_queries import star
 from driver_queries.registry import query, read, rounded
 from fieldpanel.operators import correlate, features
 from fieldpanel.plans import preprocess
+from fieldpanel.staging import stage
 
 ITEM_FEATURES = ["l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
 
@@ -86,7 +87,7 @@ def matrix_rows(columns, source):
 )
 def correlation_matrix(spark, sf_dir):
     """The six-feature matrix of the panel, category indexes included."""
-    panel = preprocess.integrated_panel(star.raw_tables(spark, sf_dir))
+    panel = stage(preprocess.integrated_panel(star.raw_tables(spark, sf_dir)), "panel")
     for label, index in preprocess.INDEXED.items():
         panel = features.string_index(panel, label, index)
     return rounded(correlate.correlation_matrix(panel, INDEXED_FEATURES), 6, "corr")

@@ -7,14 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def one_row(df: DataFrame, **aggregates: Column) -> Column:
-    """Whole-table aggregates as one struct-valued scalar subquery.
+def one_row(df: DataFrame, **aggregates: Column) -> dict[str, Column]:
+    """Whole-table aggregates, computed now and returned as typed literals.
 
-    The result can be used in any expression over any table: Spark computes it
-    once per query and no statistic travels through the driver program.
+    Only the one result row reaches the driver. As literals the statistics fold
+    into the expressions that use them and need no join.
     """
-    fields = [expr.alias(name) for name, expr in aggregates.items()]
-    return df.agg(F.struct(*fields).alias("stats")).scalar()
+    result = df.agg(*[expr.alias(name) for name, expr in aggregates.items()])
+    row = result.first()
+    return {name: F.lit(row[name]).cast(dtype) for name, dtype in result.dtypes}
 
 
 def banded(value: Column, edges: Sequence[tuple[float, str]], otherwise: str) -> Column:

@@ -29,13 +29,27 @@ def target_correlations(df: DataFrame, target: str, columns: Sequence[str]) -> D
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(col_i, col_j, corr) for all ordered pairs of numeric columns.
 
-    Each pair uses the rows in which both have a value. Only one triangle is
-    computed, all pairs in one pass, and mirrored on the finished row.
+    Each pair uses the rows in which both have a value. One pass finds means and
+    gaps; a second sums products of centred columns, each sum shared by all pairs
+    that need it. Only a pair with gaps carries its own running moments.
     """
     columns = list(columns) if columns is not None else numeric_columns(df)
+    stats = df.agg(
+        F.count("*").alias("rows"),
+        *[F.count(column(c)).alias(f"n_{i}") for i, c in enumerate(columns)],
+        *[F.mean(column(c)).alias(f"mean_{i}") for i, c in enumerate(columns)],
+    ).first()
+    complete = {c: stats[f"n_{i}"] == stats["rows"] for i, c in enumerate(columns)}
+    centred = {
+        c: column(c).cast("double") - F.lit(stats[f"mean_{i}"]) for i, c in enumerate(columns)
+    }
     cells = []
     for a, b in combinations_with_replacement(columns, 2):
-        pair = F.corr(column(a).cast("double"), column(b).cast("double"))
+        x, y = centred[a], centred[b]
+        if complete[a] and complete[b]:
+            pair = F.try_divide(F.sum(x * y), F.sqrt(F.sum(x * x)) * F.sqrt(F.sum(y * y)))
+        else:
+            pair = F.corr(x, y)
         cells.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), pair.alias("corr")))
     triangle = df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
     both = F.when(

@@ -80,6 +80,7 @@ def frequency_index(
     """
     rows = F.count("*") if weight is None else F.sum(weight)
     counts = df.filter(F.col(label).isNotNull()).groupBy(label).agg(rows.alias("_n"))
+    counts = stage(counts, "label_counts")
     order = [F.desc("_n"), F.asc(label)]
     return positions(counts, order, out, max_single_sort_rows).select(
         label, F.col(out).cast("double").alias(out)
@@ -94,7 +95,7 @@ def ordinal_codes(
 ) -> DataFrame:
     """(label, ``out``): 0, 1, 2, ... in text order over the labels of all tables."""
     labels = reduce(DataFrame.unionByName, [t.select(label) for t in tables]).distinct()
-    labels = labels.filter(F.col(label).isNotNull())
+    labels = stage(labels.filter(F.col(label).isNotNull()), "labels")
     return positions(labels, [F.asc(label)], out, max_single_sort_rows)
 
 

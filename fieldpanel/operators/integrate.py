@@ -60,7 +60,7 @@ def integrate(
         keyed_measure(table, measure, out, on_duplicate)
         for out, (table, measure) in measures.items()
     ]
-    conditions = stage(reduce(lambda a, b: a.join(b, list(KEY)), keyed), "conditions")
+    conditions = stage(reduce(lambda a, b: attach(a, b, KEY), keyed), "conditions")
     joined = attach(panel, conditions, KEY)
     return joined.select(*panel.columns, *measures)
 

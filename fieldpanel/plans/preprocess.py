@@ -103,8 +103,9 @@ def processed_panel(panel: DataFrame, relative_error: float = 0.01) -> DataFrame
     labels = kept.groupBy(*INDEXED).agg(F.count("*").alias("_rows"))
     labels = stage(labels, "label_counts")
     for label, index in INDEXED.items():
-        codes = stage(features.frequency_index(labels, label, index, weight="_rows"), "codes")
-        out = features.apply_codes(out, codes)
+        out = features.apply_codes(
+            out, features.frequency_index(labels, label, index, weight="_rows")
+        )
     return out.select(*PROCESSED)
 
 
