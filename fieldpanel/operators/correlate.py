@@ -47,7 +47,8 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
     for a, b in combinations_with_replacement(columns, 2):
         x, y = centred[a], centred[b]
         if complete[a] and complete[b]:
-            pair = F.try_divide(F.sum(x * y), F.sqrt(F.sum(x * x)) * F.sqrt(F.sum(y * y)))
+            spread = F.sum(x * x) if a == b else F.sqrt(F.sum(x * x)) * F.sqrt(F.sum(y * y))
+            pair = F.try_divide(F.sum(x * y), spread)
         else:
             pair = F.corr(x, y)
         cells.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), pair.alias("corr")))

@@ -58,10 +58,6 @@ def _box_expression(tree: Split | int, features: Sequence[str]) -> Column:
     return F.when(inside, low).otherwise(_box_expression(tree.high, features))
 
 
-def _block_count(rows: Column, size: int) -> Column:
-    return F.greatest(F.ceil(rows / size), F.lit(1)).cast("int")
-
-
 def _block_of(key: str, blocks: Column) -> Column:
     """Block by hash of the unique key: the same block whenever a task is retried."""
     return F.pmod(F.xxhash64(F.col(key)), blocks).cast("int")
@@ -176,7 +172,6 @@ def knn_neighbors(
     axes = range(len(features))
     low = extent[[f"low_{i}" for i in axes]].to_numpy()
     high = extent[[f"high_{i}" for i in axes]].to_numpy()
-    sizes = spark.createDataFrame(extent[["_box", "n"]], "_box int, _points bigint")
 
     key_type = {f.name: f.dataType for f in train.schema.fields}[train_key]
     query_type = {f.name: f.dataType for f in test.schema.fields}[test_key]
@@ -192,15 +187,14 @@ def knn_neighbors(
 
     def meet(visits: DataFrame) -> DataFrame:
         """Neighbours within each visited box: visits are (_query, features, _box)."""
-        waiting = visits.groupBy("_box").agg(F.count("*").alias("_visits"))
+        waiting = visits.groupBy("_box").agg(F.count("*").alias("visits")).toPandas()
+        blocks = extent[["_box", "n"]].merge(waiting, on="_box")
+        for rows, count in (("n", "_p_blocks"), ("visits", "_q_blocks")):
+            blocks[count] = np.maximum(np.ceil(blocks[rows] / block_rows), 1).astype("int32")
         plan = F.broadcast(  # one row per box
-            stage(
-                sizes.join(waiting, "_box").select(
-                    "_box",
-                    _block_count(F.col("_points"), block_rows).alias("_p_blocks"),
-                    _block_count(F.col("_visits"), block_rows).alias("_q_blocks"),
-                ),
-                "box_plan",
+            spark.createDataFrame(
+                blocks[["_box", "_p_blocks", "_q_blocks"]],
+                "_box int, _p_blocks int, _q_blocks int",
             )
         )
         cells = ["_box", "_p_block", "_q_block"]
@@ -264,6 +258,8 @@ def knn_predict(
     """
     if weights not in ("distance", "uniform"):
         raise ValueError(f"weights must be distance or uniform, not {weights!r}")
+    if test_key in ("k", "rank", "distance", label):
+        raise ValueError(f"the key column may not be named {test_key!r}")
     each = neighbors.withColumn("k", F.explode(F.array(*[F.lit(k) for k in ks])))
     each = each.filter(F.col("rank") <= F.col("k"))
     y, d = F.col(f"`{label}`"), F.col("distance")
