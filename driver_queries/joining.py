@@ -3,22 +3,21 @@
 from __future__ import annotations
 
 from driver_queries import star
-from driver_queries.registry import query, rounded
+from driver_queries.registry import query
 from fieldpanel.operators import integrate
 from fieldpanel.plans import preprocess
 
 
 def _joined(spark, sf_dir, *names):
     panel, measures = preprocess.panel_parts(star.raw_tables(spark, sf_dir))
-    joined = integrate.integrate(panel, {name: measures[name] for name in names})
-    return rounded(joined, 4, *[n for n in names if n != "Pesticides"])
+    return integrate.integrate(panel, {name: measures[name] for name in names})
 
 
 @query(
     "join_rainfall",
     f"""WITH {star.STANDARD}
     SELECT y."Country", y."Year", "Item" AS "Crop", "Yield_Value" AS "Yield",
-           "Unit" AS "Yield_Unit", round(average_rain_fall_mm_per_year, 4) AS "Rainfall"
+           "Unit" AS "Yield_Unit", average_rain_fall_mm_per_year AS "Rainfall"
     FROM std_yield y JOIN std_rainfall r ON y."Country" = r."Country" AND y."Year" = r."Year" """,
 )
 def join_rainfall(spark, sf_dir):
@@ -29,7 +28,7 @@ def join_rainfall(spark, sf_dir):
     "join_pesticides",
     f"""WITH {star.STANDARD}
     SELECT y."Country", y."Year", "Item" AS "Crop", "Yield_Value" AS "Yield",
-           "Unit" AS "Yield_Unit", round(average_rain_fall_mm_per_year, 4) AS "Rainfall",
+           "Unit" AS "Yield_Unit", average_rain_fall_mm_per_year AS "Rainfall",
            "Pesticides_Value" AS "Pesticides"
     FROM std_yield y JOIN std_rainfall r ON y."Country" = r."Country" AND y."Year" = r."Year"
     JOIN std_pesticides p ON y."Country" = p."Country" AND y."Year" = p."Year" """,
@@ -41,8 +40,7 @@ def join_pesticides(spark, sf_dir):
 @query(
     "integrate_panel",
     f"""WITH {star.PANEL_SQL}
-    SELECT "Country", "Year", "Crop", "Yield", "Yield_Unit", round("Rainfall", 4) AS "Rainfall",
-           "Pesticides", round("Avg_Temperature", 4) AS "Avg_Temperature" FROM panel""",
+    SELECT * FROM panel""",
 )
 def integrate_panel(spark, sf_dir):
     return _joined(spark, sf_dir, "Rainfall", "Pesticides", "Avg_Temperature")

@@ -254,12 +254,12 @@ def neighbor_table(spark, sf_dir, k):
 @query(
     "knn_neighbors",
     f"""WITH {NEIGHBORS_SQL}
-    SELECT row_key, train_key, CAST(rank AS INTEGER) AS rank, round(distance, 6) AS distance,
-           round(label, 6) AS label FROM neighbors WHERE rank <= 5""",
+    SELECT row_key, train_key, CAST(rank AS INTEGER) AS rank, round(distance, 6) AS distance, label
+    FROM neighbors WHERE rank <= 5""",
 )
 def knn_neighbors(spark, sf_dir):
     found, _ = neighbor_table(spark, sf_dir, 5)
-    return rounded(found, 6, "distance", "label")
+    return rounded(found, 6, "distance")
 
 
 @query(

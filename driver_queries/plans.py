@@ -51,8 +51,8 @@ _ID_TEXT = " || '|' || ".join(
 @query(
     "preprocess_full",
     f"""WITH {PROCESSED_SQL}
-    SELECT "Country", "Year", "Crop", "Yield", "Yield_Unit", round("Rainfall", 4) AS "Rainfall",
-      "Pesticides", round("Avg_Temperature", 4) AS "Avg_Temperature", {_SCALED},
+    SELECT "Country", "Year", "Crop", "Yield", "Yield_Unit", "Rainfall", "Pesticides",
+      "Avg_Temperature", {_SCALED},
       "Country_Index", "Crop_Index", {_CATEGORIES},
       CAST('0x' || substr(md5({_ID_TEXT}), 1, 15) AS BIGINT) AS "ID",
       '2024-01-01' AS "Processing_Date", 'v1.0' AS "Processing_Version",
@@ -70,7 +70,6 @@ def preprocess_full(spark, sf_dir):
         ],
     )
     out = out.withColumn("Processing_Date", F.col("Processing_Date").cast("string"))
-    out = rounded(out, 4, "Rainfall", "Avg_Temperature")
     return rounded(out, 8, *preprocess.NORMALIZED.values())
 
 
@@ -92,8 +91,8 @@ def _quality_cells():
             _cell("summary", c, "count", f'count("{c}")'),
             _cell("summary", c, "mean", f'round(avg("{c}"), 4)'),
             _cell("summary", c, "stddev", f'round(stddev_samp("{c}"), 4)'),
-            _cell("range", c, "min", f'round(min("{c}"), 4)'),
-            _cell("range", c, "max", f'round(max("{c}"), 4)'),
+            _cell("range", c, "min", f'min("{c}")'),
+            _cell("range", c, "max", f'max("{c}")'),
         ]
     cells += [
         _cell("negatives", c, "negatives", f'count(*) FILTER (WHERE "{c}" < 0)')
@@ -110,7 +109,8 @@ def _quality_cells():
 @query("quality_report", f"WITH {star.PANEL_SQL} {_quality_cells()}")
 def quality_report(spark, sf_dir):
     report = reports.quality_report(preprocess.integrated_panel(star.raw_tables(spark, sf_dir)))
-    return rounded(report, 4, "value")
+    summed = F.col("metric").isin("mean", "stddev")
+    return report.withColumn("value", F.when(summed, exact("value", 4)).otherwise(F.col("value")))
 
 
 def _profile_cells():
@@ -162,15 +162,15 @@ def flexible_profile(spark, sf_dir):
       FROM model_panel JOIN (SELECT DISTINCT "Country" AS "Area" FROM model_panel)
       ON "Country" = "Area" GROUP BY 2
     UNION ALL SELECT 'count_by_item', "Crop", CAST(count(*) AS DOUBLE) FROM model_panel GROUP BY 2
-    UNION ALL SELECT 'total_by_item', "Crop", round(sum("Yield"), 4) FROM model_panel GROUP BY 2
-    UNION ALL SELECT * FROM (SELECT 'top_areas', "Country", round(sum("Yield"), 4) AS total
+    UNION ALL SELECT 'total_by_item', "Crop", round(sum("Yield"), 7) FROM model_panel GROUP BY 2
+    UNION ALL SELECT * FROM (SELECT 'top_areas', "Country", round(sum("Yield"), 7) AS total
       FROM model_panel GROUP BY 2 ORDER BY total DESC, "Country" LIMIT 30)
     UNION ALL SELECT 'missing', 'avg_temp',
       CAST(count(*) - count("Avg_Temperature") AS DOUBLE) FROM model_panel
     UNION ALL SELECT 'distinct', 'Area', CAST(count(DISTINCT "Country") AS DOUBLE) FROM model_panel
     UNION ALL SELECT 'correlation', 'avg_temp', round(corr("Yield", "Avg_Temperature"), 6) + 0.0
       FROM model_panel
-    UNION ALL SELECT 'description', 'hg/ha_yield', round(quantile_cont("Yield", 0.75), 4)
+    UNION ALL SELECT 'description', 'hg/ha_yield', round(quantile_cont("Yield", 0.75), 7)
       FROM model_panel""",
 )
 def explore(spark, sf_dir):
@@ -179,7 +179,7 @@ def explore(spark, sf_dir):
 
     found = reports.explore(model_base(spark, sf_dir).withColumn("_c0", F.lit(None).cast("int")))
 
-    def part(name, df, key, value, digits=4):
+    def part(name, df, key, value, digits=7):
         return df.select(
             F.lit(name).alias("report"), F.col(key).alias("key"), exact(F.col(value), digits)
             .alias("value")

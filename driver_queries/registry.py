@@ -32,8 +32,10 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     """Round float columns, so that summation order cannot show."""
-    return df.withColumns({c: exact(F.col(c), digits).alias(c) for c in columns})
+    return df.withColumns({c: exact(c, digits) for c in columns})
 
 
-def exact(value: Column, digits: int) -> Column:
+def exact(value: Column | str, digits: int) -> Column:
+    """Rounded, without a negative zero."""
+    value = F.col(value) if isinstance(value, str) else value
     return F.round(value.cast("double"), digits) + F.lit(0.0)

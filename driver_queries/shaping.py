@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from driver_queries import star
-from driver_queries.registry import exact, query, read, rounded
+from driver_queries.registry import query, read
 from fieldpanel.operators import clean, shape
 from fieldpanel.plans import preprocess
 from fieldpanel.plans.compare import modelling_table
@@ -211,14 +211,10 @@ def add_metadata(spark, sf_dir):
 
 @query(
     "clean_rainfall",
-    f"""WITH {star.CLEAN}
-    SELECT "Country", "Year",
-           round(average_rain_fall_mm_per_year, 4) AS average_rain_fall_mm_per_year
-    FROM clean_rainfall""",
+    f"WITH {star.CLEAN} SELECT * FROM clean_rainfall",
 )
 def clean_rainfall(spark, sf_dir):
-    cleaned = clean.clean_rainfall(star.raw_measures(spark, sf_dir)["rainfall"])
-    return rounded(cleaned, 4, "average_rain_fall_mm_per_year")
+    return clean.clean_rainfall(star.raw_measures(spark, sf_dir)["rainfall"])
 
 
 @query("clean_pesticides", f"WITH {star.CLEAN} SELECT * FROM clean_pesticides")
@@ -233,11 +229,10 @@ def clean_yield(spark, sf_dir):
 
 @query(
     "clean_temp",
-    f"""WITH {star.CLEAN}
-    SELECT "Country", "Year", round(avg_temp, 4) AS avg_temp FROM clean_temp""",
+    f"WITH {star.CLEAN} SELECT * FROM clean_temp",
 )
 def clean_temp(spark, sf_dir):
-    return rounded(clean.clean_temp(star.raw_measures(spark, sf_dir)["temp"]), 4, "avg_temp")
+    return clean.clean_temp(star.raw_measures(spark, sf_dir)["temp"])
 
 
 @query(
