@@ -49,17 +49,24 @@ def integrate(
     panel: DataFrame,
     measures: Mapping[str, tuple[DataFrame, str]],
     on_duplicate: str = "keep",
+    distinct: bool = False,
 ) -> DataFrame:
     """Inner-join measures, ``{panel column: (table, measure column)}``, to the panel.
 
     All joins share one key and are inner, so the measure tables are joined to
     each other first and written. The large panel then moves once at most, and
     not at all when the joined measures are small enough to broadcast.
+
+    ``distinct`` gives each joined row once. Joining distinct rows to distinct rows
+    cannot produce a copy, so copies are removed from the inputs: a shuffle of the
+    narrow tables before rows multiply, rather than of the wide panel after.
     """
     keyed = [
         keyed_measure(table, measure, out, on_duplicate)
         for out, (table, measure) in measures.items()
     ]
+    if distinct:
+        panel, keyed = panel.distinct(), [table.distinct() for table in keyed]
     conditions = stage(reduce(lambda a, b: attach(a, b, KEY), keyed), "conditions")
     joined = attach(panel, conditions, KEY)
     return joined.select(*panel.columns, *measures)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldpanel.functions.country_aliases import COUNTRY_ALIASES
+from fieldpanel.staging import stage
 
 MAX_DATASETS = 62  # one bit each
 
@@ -71,18 +72,21 @@ def common_keys(tables: Mapping[str, DataFrame], column: str) -> DataFrame:
 
 def key_counts(tables: Mapping[str, DataFrame], column: str) -> DataFrame:
     """Distinct keys per dataset, and the keys in all of them under ``(common)``."""
+    return _count_bits(key_presence(tables, column), list(tables))
+
+
+def _count_bits(presence: DataFrame, names: Sequence[str]) -> DataFrame:
     counts = [
         F.struct(
             F.lit(name).alias("dataset"),
             F.count_if(F.getbit("datasets_mask", F.lit(i)) == 1).alias("n_keys"),
         )
-        for i, name in enumerate(tables)
+        for i, name in enumerate(names)
     ]
     common = F.struct(
         F.lit("(common)").alias("dataset"),
-        F.count_if(F.col("n_datasets") == len(tables)).alias("n_keys"),
+        F.count_if(F.bit_count("datasets_mask") == len(names)).alias("n_keys"),
     )
-    presence = key_presence(tables, column)
     return presence.agg(F.array(*counts, common).alias("counts")).select(F.inline("counts"))
 
 
@@ -91,10 +95,19 @@ def standardize_audit(
     column: str = "Country",
     aliases: Mapping[str, str] = COUNTRY_ALIASES,
 ) -> DataFrame:
-    """Key counts before and after standardization: (dataset, before, after)."""
-    fixed = {name: standardize_keys(df, column, aliases) for name, df in tables.items()}
-    before = key_counts(tables, column).withColumnRenamed("n_keys", "before")
-    after = key_counts(fixed, column).withColumnRenamed("n_keys", "after")
+    """Key counts before and after standardization: (dataset, before, after).
+
+    The standard name depends on the key alone, so the tables are read once for
+    their distinct keys and only those are standardized.
+    """
+    found = stage(key_presence(tables, column), "keys")
+    merged = (
+        standardize_keys(found, "key", aliases)
+        .groupBy("key")
+        .agg(F.bit_or("datasets_mask").alias("datasets_mask"))
+    )
+    before = _count_bits(found, list(tables)).withColumnRenamed("n_keys", "before")
+    after = _count_bits(merged, list(tables)).withColumnRenamed("n_keys", "after")
     # both sides hold one row per dataset name
     return before.join(F.broadcast(after), "dataset")
 

@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from fieldpanel.staging import stage
+
 
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
@@ -212,9 +214,10 @@ def categorical_profile(df: DataFrame, n: int = 2, list_below: int = 10) -> Data
     grows with the data.
     """
     columns = string_columns(df)[:n]
-    values = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), column(c).alias("value")) for c in columns
-    ]))).distinct()
+    pairs = F.array(
+        *[F.struct(F.lit(c).alias("column"), column(c).alias("value")) for c in columns]
+    )
+    values = stage(df.select(F.inline(pairs)).distinct(), "category_values")
     counts = values.groupBy("column").agg(F.count("value").alias("distinct_values"))
     short = counts.filter(F.col("distinct_values") < list_below).select("column")
     lists = (

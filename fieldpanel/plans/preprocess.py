@@ -64,19 +64,23 @@ def panel_parts(
     return integrate.base_panel(tables["yield"]), measures
 
 
-def integrated_panel(raw: Mapping[str, DataFrame], on_duplicate: str = "keep") -> DataFrame:
+def integrated_panel(
+    raw: Mapping[str, DataFrame], on_duplicate: str = "keep", distinct: bool = False
+) -> DataFrame:
     """The eight-column panel."""
-    return integrate.integrate(*panel_parts(raw), on_duplicate=on_duplicate)
+    return integrate.integrate(*panel_parts(raw), on_duplicate=on_duplicate, distinct=distinct)
 
 
-def processed_panel(panel: DataFrame, relative_error: float = 0.01) -> DataFrame:
+def processed_panel(
+    panel: DataFrame, relative_error: float = 0.01, copies: bool = True
+) -> DataFrame:
     """The panel without copies and outliers, normalized, indexed and categorized.
 
-    The distinct panel is written once. Ranges and quantile sketches of the kept
-    rows come from one pass over it, and one count by (Country, Crop) serves both
-    category indexes.
+    The distinct panel is written once; ``copies=False`` says it is distinct
+    already. Ranges and quantile sketches of the kept rows come from one pass over
+    it, and one count by (Country, Crop) serves both category indexes.
     """
-    distinct = stage(clean.dedup_rows(panel), "panel")
+    distinct = stage(clean.dedup_rows(panel) if copies else panel, "panel")
     kept = clean.zscore_filter(distinct, NUMBERS)
 
     wanted = F.array(*[F.lit(p) for p in features.THIRDS])
@@ -119,7 +123,8 @@ def preprocess(
     id_columns: Sequence[str | Column] = (),
 ) -> DataFrame:
     """Raw tables (yield, rainfall, pesticides, temp) to the 21-column export."""
-    processed = processed_panel(integrated_panel(raw, on_duplicate), relative_error)
+    panel = integrated_panel(raw, on_duplicate, distinct=True)
+    processed = processed_panel(panel, relative_error, copies=False)
     return shape.add_metadata(
         processed,
         version=version,

@@ -92,29 +92,44 @@ def explore(
 
 
 def profile_report(df: DataFrame, n_numeric: int = 3, n_categorical: int = 2) -> DataFrame:
-    """(section, column, metric, value, text): missing values, numbers and categories."""
-
-    def long(table: DataFrame, section: str, metrics: Sequence[str]) -> DataFrame:
-        cells = F.array(
-            *[
-                F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))
-                for m in metrics
-            ]
-        )
-        text = F.col("values") if "values" in table.columns else F.lit(None).cast("string")
-        return table.select(
-            F.lit(section).alias("section"), "column", F.inline(cells), text.alias("text")
-        )
-
-    return (
-        long(profile.missing_report(df), "missing", ["missing", "missing_pct"])
-        .unionByName(
-            long(profile.numeric_profile(df, n_numeric), "numeric", ["min", "max", "mean", "stddev"])
-        )
-        .unionByName(
-            long(profile.categorical_profile(df, n_categorical), "categorical", ["distinct_values"])
-        )
+    """(section, column, metric, value, text): missing values, numbers and categories.
+
+    One pass for all missing values and numbers, one for the categories.
+    """
+    rows = F.count("*")
+    cells = []  # section, column, metric, value, whether to show it
+    for c in df.columns:
+        missing = F.count_if(column(c).isNull())
+        percent = F.try_divide(missing * F.lit(100.0), rows)
+        cells.append(("missing", c, "missing", missing, missing > 0))
+        cells.append(("missing", c, "missing_pct", percent, missing > 0))
+    for c in profile.numeric_columns(df)[:n_numeric]:
+        for metric, make in (
+            ("min", F.min), ("max", F.max), ("mean", F.mean), ("stddev", F.stddev)
+        ):
+            cells.append(("numeric", c, metric, make(column(c)), F.lit(True)))
+    table = F.array(
+        *[
+            F.struct(
+                F.lit(section).alias("section"),
+                F.lit(c).alias("column"),
+                F.lit(metric).alias("metric"),
+                value.cast("double").alias("value"),
+                shown.alias("shown"),
+            )
+            for section, c, metric, value, shown in cells
+        ]
+    )
+    counted = df.agg(table.alias("cells")).select(F.inline("cells")).filter("shown")
+    counted = counted.drop("shown").withColumn("text", F.lit(None).cast("string"))
+    categories = profile.categorical_profile(df, n_categorical).select(
+        F.lit("categorical").alias("section"),
+        "column",
+        F.lit("distinct_values").alias("metric"),
+        F.col("distinct_values").cast("double").alias("value"),
+        F.col("values").alias("text"),
     )
+    return counted.unionByName(categories)
 
 
 def flexible_profile(df: DataFrame, n_extra: int = 5) -> DataFrame:

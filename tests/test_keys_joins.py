@@ -173,6 +173,15 @@ def test_repeated_keys_can_be_averaged_or_refused(parts, rows):
         integrate.integrate(*parts, on_duplicate="first")
 
 
+def test_distinct_inputs_give_the_distinct_panel(spark, parts, rows):
+    panel, measures = parts
+    doubled = panel.unionByName(panel)
+    twice = {out: (t.unionByName(t), m) for out, (t, m) in measures.items()}
+    want = rows(integrate.integrate(panel, measures).distinct())
+    assert rows(integrate.integrate(doubled, twice, distinct=True)) == want
+    assert len(rows(integrate.integrate(doubled, twice))) == 16 * len(want)
+
+
 def test_trace_counts_what_the_joins_give(parts, rows):
     assert rows(integrate.integration_trace(*parts)) == [
         (0, "start", 4), (1, "Rainfall", 5), (2, "Pesticides", 5), (3, "Avg_Temperature", 4),
