@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from fieldpanel.staging import stage
 
-# A side is broadcast only after counting no more rows than this.
-MAX_BROADCAST_ROWS = 200_000
+# A side is broadcast only after counting no more rows than this (some 100 MB).
+MAX_BROADCAST_ROWS = 1_000_000
 
 # A key is hot when it holds more than this share of the left rows, so there are
 # never more than 1 / HOT_SHARE hot keys.

@@ -10,7 +10,6 @@ neighbours per query, so no pair list is ever produced and the result is exact.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -22,40 +21,72 @@ DISTANCE_DIGITS = 9  # distances equal to this many digits are ties
 SAMPLE_ROWS = 20_000  # bound of the sample that places the box borders
 
 
-@dataclass(frozen=True)
-class Split:
-    """One cut of the box tree: values up to ``at`` of ``axis`` go to ``low``."""
+class BoxTree:
+    """Boxes as a binary tree: node i sends values up to ``at`` of ``axis`` to its low child.
 
-    axis: int
-    at: float
-    low: Split | int
-    high: Split | int
+    Child numbers below zero are leaves: box b is ``-1 - b``.
+    """
 
+    def __init__(self, sample: np.ndarray, leaf_rows: int):
+        self.axis: list[int] = []
+        self.at: list[float] = []
+        self.children: list[list[int]] = []
+        self.n_boxes = 0
+        self.root = self._grow(sample, leaf_rows)
+
+    def _grow(self, points: np.ndarray, leaf_rows: int) -> int:
+        """Halve the sample along its widest axis until a leaf is small."""
+        cut = self._cut(points) if len(points) > leaf_rows else None
+        if cut is None:
+            self.n_boxes += 1
+            return -self.n_boxes
+        axis, at = cut
+        node = len(self.axis)
+        self.axis.append(axis)
+        self.at.append(at)
+        self.children.append([0, 0])
+        low = points[:, axis] <= at
+        self.children[node] = [
+            self._grow(points[low], leaf_rows), self._grow(points[~low], leaf_rows)
+        ]
+        return node
 
-def _grow(points: np.ndarray, leaf_rows: int, boxes: list[int]) -> Split | int:
-    """Halve the sample along its widest axis until a leaf is small."""
-    if len(points) > leaf_rows:
+    @staticmethod
+    def _cut(points: np.ndarray) -> tuple[int, float] | None:
+        """The widest axis and a value near its median that has points on both sides."""
         for axis in np.argsort(np.ptp(points, axis=0))[::-1]:
             values = points[:, axis]
-            at = float(np.median(values))
-            low = values <= at
-            if low.all():  # the upper half is one value: cut below it
-                at = float(values[values < at].max()) if (values < at).any() else at
-                low = values <= at
-            if low.any() and not low.all():
-                left = _grow(points[low], leaf_rows, boxes)
-                return Split(int(axis), at, left, _grow(points[~low], leaf_rows, boxes))
-    boxes.append(len(boxes))
-    return boxes[-1]
-
-
-def _box_expression(tree: Split | int, features: Sequence[str]) -> Column:
-    """The tree as a column expression that yields the box number of a row."""
-    if isinstance(tree, int):
-        return F.lit(tree)
-    inside = F.col(features[tree.axis]) <= tree.at
-    low = _box_expression(tree.low, features)
-    return F.when(inside, low).otherwise(_box_expression(tree.high, features))
+            at = np.median(values)
+            if at >= values.max():  # the upper half is one value: cut below it
+                below = values[values < at]
+                if not len(below):
+                    continue
+                at = below.max()
+            return int(axis), float(at)
+        return None
+
+    def locate(self, points: np.ndarray) -> np.ndarray:
+        """Box number of each point: all points go down one level at a time."""
+        node = np.full(len(points), self.root)
+        axis, at, children = np.array(self.axis), np.array(self.at), np.array(self.children)
+        moving = np.flatnonzero(node >= 0)
+        while len(moving):
+            here = node[moving]
+            high = points[moving, axis[here]] > at[here]
+            node[moving] = children[here, high.astype(int)]
+            moving = moving[node[moving] >= 0]
+        return -1 - node
+
+    def column(self, features: Sequence[str]) -> Column:
+        """The box number as a column."""
+        if self.n_boxes == 1:
+            return F.lit(0)
+
+        @F.pandas_udf(T.IntegerType())
+        def box(*values: pd.Series) -> pd.Series:
+            return pd.Series(self.locate(np.column_stack(values)))
+
+        return box(*[F.col(c) for c in features])
 
 
 def _block_of(key: str, blocks: Column) -> Column:
@@ -157,8 +188,8 @@ def knn_neighbors(
     if n_points > SAMPLE_ROWS:  # sets borders only: any borders give exact results
         sample = sample.sample(SAMPLE_ROWS / n_points, seed=7).limit(SAMPLE_ROWS)
     sample = sample.toPandas().to_numpy()
-    tree = _grow(sample, max(-(-len(sample) // wanted_boxes), 1), [])
-    box = _box_expression(tree, features)
+    tree = BoxTree(sample, max(-(-len(sample) // wanted_boxes), 1))
+    box = tree.column(features)
 
     points = points.withColumn("_box", box)
     extent = points.groupBy("_box").agg(

@@ -52,6 +52,17 @@ def test_copies_and_ties_on_a_grid(spark):
     assert got == brute_force(train, queries, 15)
 
 
+def test_box_tree_covers_all_points_and_survives_copies():
+    rng = np.random.default_rng(1)
+    points = np.vstack([rng.normal(size=(500, 3)), np.ones((400, 3))])
+    tree = neighbors.BoxTree(points, 20)
+    boxes = tree.locate(points)
+    assert set(boxes) == set(range(tree.n_boxes))
+    sizes = np.bincount(boxes)
+    assert (np.sort(sizes)[:-1] <= 20).all()  # only the box of the copies may be larger
+    assert neighbors.BoxTree(np.ones((50, 3)), 5).n_boxes == 1
+
+
 def test_fewer_points_than_neighbors(spark):
     train = np.array([[0.0, 0, 0], [1, 0, 0]])
     queries = np.array([[0.2, 0, 0]])
