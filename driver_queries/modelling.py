@@ -115,18 +115,13 @@ def model_leaderboard(spark, sf_dir):
     return rounded(ranked, 4, "r2", "mae", "rmse")
 
 
-@query("metrics_sink")
-def metrics_sink(spark, sf_dir):
-    """Model metrics written as CSV and read back, model names included."""
-    prepared, registry = prepared_onehot(spark, sf_dir)
-    two = {n: registry[n] for n in ("Linear Regression", "Lasso Regression")}
-    metrics = regression.compare_models(prepared, two)
-    path = staging_path(spark, "metrics_csv")
-    sinks.write_metrics(metrics, path)
-    return readers.read_csv(spark, path, metrics.schema)
-
-
-@query("model_roundtrip")
+@query(
+    "model_roundtrip",
+    f"""WITH {star.MODEL_SQL},
+    keyed AS (SELECT "Country" || '|' || "Year" || '|' || "Crop" AS row_key FROM model_panel)
+    SELECT count(*) AS n_scored, CAST(0 AS DOUBLE) AS largest_change FROM keyed
+    WHERE CAST('0x' || substr(md5(row_key), 1, 8) AS BIGINT) % 100 >= 80""",
+)
 def model_roundtrip(spark, sf_dir):
     """A fitted pipeline saved, loaded and used: the largest change in any prediction."""
     _, train, test = splits(spark, sf_dir)
@@ -190,20 +185,17 @@ def relative_errors(spark, sf_dir):
     return rounded(found, 6, "mae_pct", "rmse_pct")
 
 
-@query(
-    "performance_band",
-    """SELECT o_orderpriority AS model, r2, CASE WHEN r2 > 0.9 THEN 'exceptional'
-         WHEN r2 > 0.7 THEN 'excellent' WHEN r2 > 0.5 THEN 'good' WHEN r2 > 0.3 THEN 'moderate'
-         ELSE 'poor' END AS band,
-         CAST(row_number() OVER (ORDER BY r2 DESC, o_orderpriority) AS INTEGER) AS rank
-       FROM (SELECT o_orderpriority, round(1 - sum(power(o_totalprice - p, 2))
-               / (var_pop(o_totalprice) * count(*)), 6) AS r2
-             FROM (SELECT *, o_totalprice + (CAST(substr(o_orderpriority, 1, 1) AS INTEGER) - 1)
-                     * 20000 * (CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE -1 END) AS p
-                   FROM orders) GROUP BY 1)""",
-)
-def performance_band(spark, sf_dir):
-    """Predictions that miss by more for each priority, ranked and banded."""
+PRIORITY_SQL = """SELECT o_orderpriority AS model,
+         round(1 - sum(power(o_totalprice - p, 2)) / (var_pop(o_totalprice) * count(*)), 6) AS r2,
+         round(avg(abs(o_totalprice - p)), 4) AS mae,
+         round(sqrt(avg(power(o_totalprice - p, 2))), 4) AS rmse
+       FROM (SELECT *, o_totalprice + (CAST(substr(o_orderpriority, 1, 1) AS INTEGER) - 1)
+               * 20000 * (CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE -1 END) AS p
+             FROM orders) GROUP BY 1"""
+
+
+def priority_metrics(spark, sf_dir):
+    """One metrics row per order priority, for predictions that miss by more for each."""
     step = (F.substring("o_orderpriority", 1, 1).cast("int") - 1) * 20000
     side = F.when(F.col("o_orderkey") % 2 == 0, 1).otherwise(-1)
     orders = read(spark, sf_dir, "orders").select(
@@ -212,8 +204,29 @@ def performance_band(spark, sf_dir):
         (F.col("o_totalprice") + step * side).alias("p"),
     )
     found = evaluate.regression_metrics(orders, "o_totalprice", "p", by=["model"])
-    found = rounded(found, 6, "r2").select("model", "r2")
-    return evaluate.leaderboard(evaluate.performance_band(found))
+    return rounded(rounded(found, 6, "r2"), 4, "mae", "rmse")
+
+
+@query(
+    "performance_band",
+    f"""SELECT *, CASE WHEN r2 > 0.9 THEN 'exceptional'
+         WHEN r2 > 0.7 THEN 'excellent' WHEN r2 > 0.5 THEN 'good' WHEN r2 > 0.3 THEN 'moderate'
+         ELSE 'poor' END AS band,
+         CAST(row_number() OVER (ORDER BY r2 DESC, model) AS INTEGER) AS rank
+       FROM ({PRIORITY_SQL})""",
+)
+def performance_band(spark, sf_dir):
+    """The priorities ranked and banded."""
+    return evaluate.leaderboard(evaluate.performance_band(priority_metrics(spark, sf_dir)))
+
+
+@query("metrics_sink", PRIORITY_SQL)
+def metrics_sink(spark, sf_dir):
+    """A metrics table written as CSV and read back, model names included."""
+    metrics = priority_metrics(spark, sf_dir)
+    path = staging_path(spark, "metrics_csv")
+    sinks.write_metrics(metrics, path)
+    return readers.read_csv(spark, path, metrics.schema)
 
 
 # --- neighbours ------------------------------------------------------------
@@ -290,6 +303,14 @@ def knn_sweep(spark, sf_dir):
     return rounded(sweep, 6, "r2", "mae", "rmse")
 
 
+@query(
+    "knn_best_k",
+    f"SELECT * FROM ({_sweep_sql(PREDICT, compare.NEIGHBOR_COUNTS)}) ORDER BY r2 DESC, k LIMIT 1",
+)
+def knn_best_k(spark, sf_dir):
+    return evaluate.best_k(knn_sweep(spark, sf_dir))
+
+
 @query("knn_uniform", _sweep_sql("avg(label)", [5]))
 def knn_uniform(spark, sf_dir):
     _, train, test = splits(spark, sf_dir)

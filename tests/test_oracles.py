@@ -47,6 +47,6 @@ def test_every_oracle_has_a_query():
     assert all(
         n.startswith("model_")
         or n in {"random_sample", "random_split", "feature_importance", "compare_models",
-                 "metrics_sink", "batch_score"}
+                 "batch_score"}
         for n in rows_only
     )
