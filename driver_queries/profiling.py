@@ -33,8 +33,10 @@ HOLED = """holed AS (
 
 def each(columns, select, source):
     """One SELECT per column, ``{c}`` standing for its name."""
-    return " " + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", {select.format(c=c)} FROM {source.format(c=c)}"
-                              for c in columns)
+    return " " + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", {select.format(c=c)} FROM {source.format(c=c)}"
+        for c in columns
+    )
 
 
 @query(

@@ -193,7 +193,7 @@ def quantile_cuts(
         found = df.agg(rows.alias("rows")).select(F.inline("rows"))
         return found.select(
             "column", F.explode(F.arrays_zip(wanted.alias("probability"), "cuts")).alias("z")
-        ).select("column", F.col("z.probability").alias("probability"), F.col("z.cuts").alias("cut"))
+        ).select("column", F.col("z.probability"), F.col("z.cuts").alias("cut"))
 
     ranked = ranked_values(df, columns, max_single_sort_rows).withColumn(
         "probability", F.explode(F.array(*[F.lit(float(p)) for p in probabilities]))

@@ -94,6 +94,18 @@ def _block_of(key: str, blocks: Column) -> Column:
     return F.pmod(F.xxhash64(F.col(key)), blocks).cast("int")
 
 
+def _smallest(distance: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the k smallest values of each row, the first columns on ties."""
+    k = min(k, distance.shape[1])
+    limit = np.partition(distance, k - 1, axis=1)[:, k - 1]
+    row, at = np.nonzero(distance <= limit[:, None])  # the k smallest and ties of the last
+    order = np.lexsort((at, distance[row, at], row))
+    row, at = row[order], at[order]
+    first = np.searchsorted(row, np.arange(len(distance)))
+    keep = np.arange(len(row)) - first[row] < k
+    return row[keep], at[keep]
+
+
 def _block_neighbors(features: list[str], k: int, slice_rows: int = 256):
     """The cogroup function: top k points of one point block for each query of one block."""
 
@@ -110,12 +122,11 @@ def _block_neighbors(features: list[str], k: int, slice_rows: int = 256):
                 for axis in range(len(features)):
                     square += (part[:, axis, None] - p[None, :, axis]) ** 2
                 distance = np.round(np.sqrt(square), DISTANCE_DIGITS)
-                # stable: ties keep the order of the point names
-                order = np.argsort(distance, axis=1, kind="stable")[:, :k]
-                found["_query"].extend(np.repeat(ids[start : start + slice_rows], order.shape[1]))
-                found["_point"].extend(names[order].ravel())
-                found["_label"].extend(labels[order].ravel())
-                found["distance"].extend(np.take_along_axis(distance, order, 1).ravel())
+                row, at = _smallest(distance, k)
+                found["_query"].extend(ids[start + row])
+                found["_point"].extend(names[at])
+                found["_label"].extend(labels[at])
+                found["distance"].extend(distance[row, at])
         return pd.DataFrame(found)
 
     return nearest
@@ -252,7 +263,8 @@ def knn_neighbors(
     if len(box_ids) == 1:
         best = first
     else:
-        bounds = first.filter(F.col("rank") == k).select("_query", F.col("distance").alias("_bound"))
+        bounds = first.filter(F.col("rank") == k)
+        bounds = bounds.select("_query", F.col("distance").alias("_bound"))
         searching = home.withColumnRenamed("_box", "_home").join(bounds, "_query", "left")
         visit_schema = T.StructType(
             [

@@ -7,7 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from fieldpanel.functions.columns import one_row
-from fieldpanel.operators import correlate, evaluate, features, neighbors, profile, regression, shape
+from fieldpanel.operators import (
+    correlate,
+    evaluate,
+    features,
+    neighbors,
+    profile,
+    regression,
+    shape,
+)
 from fieldpanel.operators.regression import ModelTable
 from fieldpanel.staging import stage
 
