@@ -22,7 +22,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from fieldpanel.llm.common import stage, staging_path
 
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Each open RocksDB store holds 4 MB of disk, however small: a task closes its own once
+# its state is in the shared checkpoint.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+}
 
 Digest = Callable[[Column], Column]
 
@@ -89,9 +96,9 @@ def ingest(
             T.StructField("group_size", T.LongType()),
         ]
     )
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider, None)
-    spark.conf.set(provider, STATE_STORE)
+    before = {key: spark.conf.get(key, None) for key in STATE_SETTINGS}
+    for key, value in STATE_SETTINGS.items():
+        spark.conf.set(key, value)
     try:
         state = (
             _located(spark.readStream.schema(schema).parquet(_as_glob(path)), doc_id, text, normalise)
@@ -114,10 +121,11 @@ def ingest(
         )
         query.awaitTermination()
     finally:
-        if before is None:
-            spark.conf.unset(provider)
-        else:
-            spark.conf.set(provider, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
     with_batch = T.StructType([*changed_rows.fields, T.StructField("batch", T.LongType())])
     changes = spark.read.schema(with_batch).option("basePath", f"{root}/changes")
     try:
