@@ -1,6 +1,10 @@
 """All queries of this subpackage; importing the modules registers them."""
 
 from fieldpanel.llm.registry import ORACLES, QUERIES
-from fieldpanel.llm import query_dedup  # noqa: F401
+from fieldpanel.llm import (  # noqa: F401 - importing registers the queries
+    query_chat,
+    query_dedup,
+    query_mixture,
+)
 
 __all__ = ["ORACLES", "QUERIES"]
