@@ -4,6 +4,7 @@ from fieldpanel.llm.registry import ORACLES, QUERIES
 from fieldpanel.llm import (  # noqa: F401 - importing registers the queries
     query_chat,
     query_dedup,
+    query_fingerprint,
     query_mixture,
 )
 
