@@ -33,7 +33,7 @@ def with_next(
     else:
         bucket = F.lit(0)
     dealt = rows.withColumn("_bucket", bucket.cast("int"))
-    # one row per range: its smallest key, and the range before it
+    # one row per range (so never more than partitions + 1): its smallest key, the range before
     whole = Window.partitionBy(F.lit(0)).orderBy("_at")
     firsts = dealt.groupBy(F.col("_bucket").alias("_at")).agg(F.min(key).alias("_first"))
     last = F.max("_at").over(Window.partitionBy(F.lit(0)))
@@ -41,7 +41,7 @@ def with_next(
         "_at", "_first", F.coalesce(F.lag("_at").over(whole), last).alias("_before")
     )
     same = (F.col("_bucket") == F.col("_at")) & k.eqNullSafe(F.col("_first"))
-    halo = dealt.join(firsts, same).withColumn("_bucket", F.col("_before"))
+    halo = dealt.join(F.broadcast(firsts), same).withColumn("_bucket", F.col("_before"))
     halo = halo.select(*dealt.columns, F.lit(1).alias("_halo"))
     both = dealt.withColumn("_halo", F.lit(0)).unionAll(halo).withColumns(made or {})
     order = Window.partitionBy("_bucket").orderBy("_halo", k.asc_nulls_last(), tie)
