@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fieldpanel.llm import exact_dedup
+from fieldpanel.llm import exact_dedup, simhash
+from fieldpanel.llm.common import documents
 from fieldpanel.llm.registry import query
 
 EXACT_SQL = """
@@ -17,3 +18,11 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))"""
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the copy that stays, from a stream over the table's files."""
     return exact_dedup.deduplicate(spark, f"{sf_dir}/documents.parquet").drop("at")
+
+
+@query("op6_simhash")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its fingerprint and the component of linked fingerprints."""
+    found = simhash.near_duplicates(documents(spark, sf_dir))
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
