@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fieldpanel.staging import stage, staging_path
 
-__all__ = ["documents", "fresh", "shuffle_width", "stage", "staging_path", "text_of", "WORD"]
+__all__ = ["documents", "fresh", "let", "shuffle_width", "stage", "staging_path", "text_of", "WORD"]
 
 # A word: a longest run of characters other than the six ASCII white-space ones.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -33,3 +33,8 @@ def fresh(taken: Iterable[str], *names: str) -> list[str]:
 def shuffle_width(spark: SparkSession) -> int:
     """The session's number of shuffle partitions, the unit for splitting hot groups."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once per row."""
+    return F.element_at(F.transform(F.array(value), lambda v: use(v)), 1)

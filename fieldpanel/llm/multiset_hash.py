@@ -18,10 +18,10 @@ not count; an empty table gives no rows; repeated rows have equal fingerprints.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, functions as F
 
+from fieldpanel.llm.common import let
+
 DENSE = 16
 LANES = 32
 LEVELS = 10
@@ -29,11 +29,6 @@ _BYTE = 256
 _MASK = 0xFFFFFFFF
 
 
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` evaluated once per row."""
-    return F.element_at(F.transform(F.array(value), lambda v: use(v)), 1)
-
-
 def paragraphs(text: Column) -> Column:
     """The lines of a text that hold more than white space, trimmed."""
     return F.filter(F.transform(F.split(text, r"\n"), F.trim), lambda p: p != "")
