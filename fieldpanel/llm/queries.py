@@ -6,6 +6,7 @@ from fieldpanel.llm import (  # noqa: F401 - importing registers the queries
     query_dedup,
     query_fingerprint,
     query_mixture,
+    query_pii,
     query_quality,
     query_tokens,
 )
