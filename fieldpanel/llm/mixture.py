@@ -22,7 +22,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from fieldpanel.llm.common import WORD, stage, text_of
+from fieldpanel.llm.common import WORD, fresh, stage, text_of
 from fieldpanel.operators.ordering import running_total
 
 RANGE_ROWS = 4096
@@ -165,3 +165,32 @@ def mix(
         (F.col("_epochs") + (F.col("_start") <= F.col("_rest")).cast("bigint")).alias("copies"),
     )
     return whole.unionAll(border).withColumn("taken", F.col("copies") * F.col("size"))
+
+
+def mixed(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source"
+) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, columns unchanged.
+
+    Rows that repeat an identifier are told apart by a digest of their text.
+    """
+    own = fresh(docs.columns, "_mix_id", "_mix_digest", "_mix_at", "_mix_copies")
+    digest = F.xxhash64(text_of(text))
+    plan = mix(
+        docs.select(
+            F.struct(F.col(doc_id).alias("id"), digest.alias("digest")).cast(
+                "struct<id:bigint,digest:bigint>"
+            ).alias("doc_id"),
+            F.col(text).alias("text"),
+            F.col(source).alias("source"),
+        )
+    )
+    # equal identifier and text: each of n rows takes its share of what the group takes
+    copies = plan.groupBy("doc_id").agg(F.sum("copies").alias("c"), F.count(F.lit(1)).alias("n"))
+    copies = copies.where(F.col("c") > 0).select(
+        F.col("doc_id.id").alias(own[0]), F.col("doc_id.digest").alias(own[1]),
+        F.ceil(F.col("c") / F.col("n")).cast("int").alias(own[3]),
+    )
+    same = F.col(doc_id).cast("bigint").eqNullSafe(F.col(own[0])) & (digest == F.col(own[1]))
+    times = F.explode(F.array_repeat(F.lit(0), F.col(own[3]))).alias(own[2])
+    return docs.join(stage(copies, "copies"), same).select(*docs.columns, times).drop(own[2])
