@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fieldpanel.llm import exact_dedup, simhash
+from fieldpanel.llm import exact_dedup, simhash, substring_dedup
 from fieldpanel.llm.common import documents
 from fieldpanel.llm.registry import query
 
@@ -26,3 +26,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir))
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+@query("op8_substring_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with what repeated 100-byte strings take from it."""
+    return substring_dedup.remove_repeats(documents(spark, sf_dir))
