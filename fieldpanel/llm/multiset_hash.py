@@ -31,13 +31,13 @@ _MASK = 0xFFFFFFFF
 
 def paragraphs(text: Column) -> Column:
     """The lines of a text that hold more than white space, trimmed."""
-    return F.filter(F.transform(F.split(text, r"\n"), F.trim), lambda p: p != "")
+    return F.filter(F.transform(F.split(text, r"\n"), lambda p: F.trim(p)), lambda p: p != "")
 
 
 def clauses(text: Column) -> Column:
     """The stretches of a text between line ends, or punctuation with a space after it."""
     parts = F.split(text, r"\n|(?<=[.,;:!?|%#$&*]) ")
-    return F.filter(F.transform(parts, F.trim), lambda c: c != "")
+    return F.filter(F.transform(parts, lambda c: F.trim(c)), lambda c: c != "")
 
 
 def _zero() -> Column:
