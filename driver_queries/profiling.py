@@ -281,10 +281,10 @@ def count_by_crop(spark, sf_dir):
 @query(
     "top_countries",
     f"""WITH {star.RAW} SELECT "Area", sum("Value") AS total FROM raw_yield GROUP BY 1
-    ORDER BY total DESC, "Area" LIMIT 10""",
+    ORDER BY total DESC, "Area" LIMIT 30""",
 )
 def top_countries(spark, sf_dir):
-    return profile.top_totals(star.raw_yield(spark, sf_dir), "Area", "Value", 10)
+    return profile.top_totals(star.raw_yield(spark, sf_dir), "Area", "Value", 30)
 
 
 @query("random_sample")
