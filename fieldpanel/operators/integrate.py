@@ -9,7 +9,6 @@ from operator import and_
 from pyspark.sql import DataFrame, functions as F
 
 from fieldpanel.operators.joins import attach
-from fieldpanel.staging import stage
 
 KEY = ("Country", "Year")
 ON_DUPLICATE = ("keep", "mean", "error")
@@ -54,8 +53,8 @@ def integrate(
     """Inner-join measures, ``{panel column: (table, measure column)}``, to the panel.
 
     All joins share one key and are inner, so the measure tables are joined to
-    each other first and written. The large panel then moves once at most, and
-    not at all when the joined measures are small enough to broadcast.
+    each other first and written (by ``attach``). The large panel then moves once at
+    most, and not at all when the joined measures are small enough to broadcast.
 
     ``distinct`` gives each joined row once. Joining distinct rows to distinct rows
     cannot produce a copy, so copies are removed from the inputs: a shuffle of the
@@ -67,8 +66,7 @@ def integrate(
     ]
     if distinct:
         panel, keyed = panel.distinct(), [table.distinct() for table in keyed]
-    conditions = stage(reduce(lambda a, b: attach(a, b, KEY), keyed), "conditions")
-    joined = attach(panel, conditions, KEY)
+    joined = attach(panel, reduce(lambda a, b: attach(a, b, KEY), keyed), KEY)
     return joined.select(*panel.columns, *measures)
 
 

@@ -4,38 +4,55 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import add, and_, or_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from fieldpanel.staging import stage
 
-# A side is broadcast only after counting no more rows than this (some 100 MB).
-MAX_BROADCAST_ROWS = 1_000_000
+# A side is broadcast only after measuring no more bytes of values than this.
+MAX_BROADCAST_BYTES = 64 << 20
 
 # A key is hot when it holds more than this share of the left rows, so there are
 # never more than 1 / HOT_SHARE hot keys.
 HOT_SHARE = 0.001
 
 
-def fits(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+def fits(df: DataFrame, max_rows: int) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows; reads no further than that."""
     return df.select(F.lit(1).alias("one")).limit(max_rows + 1).count() <= max_rows
 
 
+def value_bytes(df: DataFrame) -> int:
+    """Bytes of all values as a task holds them: 16 each, and the length of texts and nests."""
+
+    def width(field: T.StructField):
+        c = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(c), F.lit(0)) + 16
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            return F.coalesce(F.octet_length(c.cast("string")), F.lit(0)) * 4 + 16
+        return F.lit(16)
+
+    row = reduce(add, [width(f) for f in df.schema.fields], F.lit(0))
+    return df.agg(F.sum(row.cast("bigint")).alias("n")).first()["n"] or 0
+
+
 def attach(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[str],
     how: str = "inner",
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Join ``right`` to the rows of ``left``.
 
-    A right side counted as small is broadcast, so ``left`` does not move at all.
-    Otherwise both sides shuffle and the hot keys of ``left`` are salted.
+    The right side is computed once, written and measured. If it is small it is
+    broadcast, so ``left`` does not move at all and is never the side that is
+    copied. Otherwise both sides shuffle and the hot keys of ``left`` are salted.
     """
-    if fits(right, max_broadcast_rows):
+    right = stage(right, "attached")
+    if value_bytes(right) <= max_broadcast_bytes:
         return left.join(F.broadcast(right), list(on), how)
     return salted_join(left, right, on, how)
 
@@ -49,24 +66,33 @@ def salted_join(
 ) -> DataFrame:
     """Shuffle join with each hot left key spread over its fair number of tasks.
 
-    Only hot keys pay: their right rows are repeated once per salt, all other
-    rows join on salt 0. Left rows with a NULL key never match; in a left join
-    they are spread as well, so that they do not meet in one task.
+    Rows per key are counted from the key columns alone. Without a hot key this is
+    a plain join. Otherwise only hot keys pay: their right rows are repeated once
+    per salt, all other rows join on salt 0. Left rows with a NULL key never match;
+    in a left join they are spread as well, so that they do not meet in one task.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"salted_join supports inner and left joins, not {how!r}")
     on = list(on)
+    added = [c for c in right.columns if c not in on]
+    columns = [*on, *[c for c in left.columns if c not in on], *added]
+    if how == "inner":
+        left = left.dropna(subset=on)
+    counts = stage(left.groupBy(*on).agg(F.count("*").alias("_rows")), "key_rows")
+    rows = counts.agg(F.sum("_rows").alias("n")).first()["n"] or 0
+    hot = counts.filter(F.col("_rows") > rows * hot_share)
+    if hot.isEmpty():
+        return left.join(right, on, how).select(*columns)
+
     left = stage(left, "salted")  # fixed row order, so the salts are repeatable
     width = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = left.count()
-    hot = (
-        left.dropna(subset=on)
-        .groupBy(*on)
-        .agg(F.count("*").alias("_rows"))
-        .filter(F.col("_rows") > rows * hot_share)
-        .select(*on, F.ceil(F.col("_rows") * width / F.lit(max(rows, 1))).alias("_spread"))
+    whole = reduce(and_, [F.col(c).isNotNull() for c in on])
+    hot = stage(
+        hot.filter(whole).select(
+            *on, F.ceil(F.col("_rows") * width / F.lit(max(rows, 1))).alias("_spread")
+        ),
+        "hot_keys",
     )
-    hot = stage(hot, "hot_keys")
 
     null_key = reduce(or_, [F.col(c).isNull() for c in on])
     spread = F.when(null_key, F.lit(width)).otherwise(F.coalesce("_spread", F.lit(1)))
@@ -82,6 +108,4 @@ def salted_join(
         .withColumn("_salt", F.col("_salt").cast("bigint"))
         .drop("_spread")
     )
-    joined = salted_left.join(salted_right, [*on, "_salt"], how)
-    added = [c for c in right.columns if c not in on]
-    return joined.select(*on, *[c for c in left.columns if c not in on], *added)
+    return salted_left.join(salted_right, [*on, "_salt"], how).select(*columns)

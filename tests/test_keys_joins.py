@@ -117,7 +117,7 @@ def test_hot_key_is_spread_over_partitions(spark, skewed):
 @pytest.mark.parametrize("limit", [0, 1000])
 def test_attach_takes_either_way_with_equal_result(skewed, limit):
     left, right = skewed
-    got = joins.attach(left, right, ["k"], "left", max_broadcast_rows=limit)
+    got = joins.attach(left, right, ["k"], "left", max_broadcast_bytes=limit)
     want = left.join(right, "k", "left")
     key = ["k", "v", "w"]
     assert Counter(map(tuple, got.select(key).collect())) == Counter(
@@ -125,6 +125,35 @@ def test_attach_takes_either_way_with_equal_result(skewed, limit):
     )
 
 
+def test_no_hot_key_means_a_plain_join(spark, tmp_path):
+    left = spark.range(2000).selectExpr("id AS k", "id AS v")
+    right = spark.range(0, 2000, 2).selectExpr("id AS k", "-id AS w")
+    joined = joins.salted_join(left, right, ["k"])
+    assert "_salt" not in joined._jdf.queryExecution().toString()
+    assert joined.count() == 1000
+
+
+def test_measured_bytes_follow_the_texts(spark):
+    short = spark.range(10).selectExpr("repeat('a', 5) AS t")
+    long = spark.range(10).selectExpr("repeat('a', 5000) AS t", "array(1, 2) AS a")
+    assert joins.value_bytes(short) == 10 * 21
+    assert joins.value_bytes(long) > 50_000
+    assert joins.value_bytes(spark.range(0)) == 0
+
+
+def test_line_items_stay_where_they_are(spark):
+    """No Exchange above the fact table, even when Catalyst may not broadcast by itself."""
+    from driver_queries import star
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = star.raw_yield(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("BuildRight") == 2 and "BuildLeft" not in plan
+    assert "hashpartitioning" not in plan
+
+
 def test_fits(spark):
     assert joins.fits(spark.range(5), 5)
     assert not joins.fits(spark.range(6), 5)
