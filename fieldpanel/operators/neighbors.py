@@ -10,6 +10,8 @@ neighbours per query, so no pair list is ever produced and the result is exact.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
@@ -18,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from fieldpanel.staging import stage
 
 DISTANCE_DIGITS = 9  # distances equal to this many digits are ties
-SAMPLE_ROWS = 20_000  # bound of the sample that places the box borders
+SAMPLE_ROWS = 20_000  # expected rows of the sample that places the box borders
 
 
 class BoxTree:
@@ -161,6 +163,24 @@ def _top_k(candidates: DataFrame, k: int) -> DataFrame:
     return candidates.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
+def check_points(df: DataFrame, key: str, features: Sequence[str]) -> None:
+    """Refuse rows that a search would merge (equal keys) or lose (features without a value)."""
+    values = [F.col(f"`{c}`").cast("double") for c in features]
+    empty = reduce(or_, [v.isNull() | F.isnan(v) for v in values], F.lit(False))
+    per_key = df.groupBy(F.col(f"`{key}`").alias("_key")).agg(
+        F.count("*").alias("rows"), F.count_if(empty).alias("empty")
+    )
+    found = per_key.agg(
+        F.max("rows").alias("rows"),
+        F.sum("empty").alias("empty"),
+        F.count_if(F.col("_key").isNull()).alias("no_key"),
+    ).first()
+    if found["no_key"] or (found["rows"] or 0) > 1:
+        raise ValueError(f"keys in {key!r} must be unique and not NULL")
+    if found["empty"]:
+        raise ValueError(f"{found['empty']} rows have NULL or NaN features")
+
+
 def knn_neighbors(
     train: DataFrame,
     test: DataFrame,
@@ -174,10 +194,13 @@ def knn_neighbors(
 ) -> DataFrame:
     """(``test_key``, rank, ``train_key``, distance, ``label``) of the k nearest.
 
-    Keys must be unique; ``train_key`` breaks ties. Features must not be NULL.
+    Keys must be unique and not NULL, and features neither NULL nor NaN, or the search
+    is refused; ``train_key`` breaks ties.
     """
     spark = train.sparkSession
     features = list(features)
+    check_points(train, train_key, features)
+    check_points(test, test_key, features)
     vector = [F.col(c).cast("double").alias(c) for c in features]
     # Of equal points only the k first by key can be anyone's neighbours. The
     # filter on the row number trims such copies before they are shuffled.
@@ -197,7 +220,7 @@ def knn_neighbors(
     wanted_boxes = min(max(n_points // block_rows, 1), max_boxes)
     sample = points.select(*features)
     if n_points > SAMPLE_ROWS:  # sets borders only: any borders give exact results
-        sample = sample.sample(SAMPLE_ROWS / n_points, seed=7).limit(SAMPLE_ROWS)
+        sample = sample.sample(SAMPLE_ROWS / n_points, seed=7)
     sample = sample.toPandas().to_numpy()
     tree = BoxTree(sample, max(-(-len(sample) // wanted_boxes), 1))
     box = tree.column(features)

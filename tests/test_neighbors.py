@@ -112,3 +112,26 @@ def test_a_zero_distance_neighbor_stands_alone(spark, rows):
         neighbors.knn_predict(found, "q", "y", [3], "rank")
     with pytest.raises(ValueError, match="key column"):
         neighbors.knn_predict(found.withColumnRenamed("q", "k"), "k", "y", [3])
+
+
+@pytest.mark.parametrize(
+    ("side", "row", "message"),
+    [
+        ("train", (0, 1.0, 1.0, 1.0, 1.0), "unique"),
+        ("test", (0, 1.0, 1.0, 1.0, 1.0), "unique"),
+        ("train", (None, 1.0, 1.0, 1.0, 1.0), "not NULL"),
+        ("train", (9, None, 1.0, 1.0, 1.0), "NaN"),
+        ("test", (9, 1.0, float("nan"), 1.0, 1.0), "NaN"),
+    ],
+)
+def test_rows_that_would_be_merged_or_lost_are_refused(spark, side, row, message):
+    schema = "id bigint, f0 double, f1 double, f2 double, y double"
+    good = table(spark, np.zeros((3, 3)), np.zeros(3))
+    both = {"train": good, "test": good}
+    both[side] = good.unionByName(spark.createDataFrame([row], schema))
+    with pytest.raises(ValueError, match=message):
+        neighbors.knn_neighbors(
+            both["train"].withColumnRenamed("id", "point"),
+            both["test"].withColumnRenamed("id", "query"),
+            FEATURES, 2, "point", "query", "y",
+        )
