@@ -15,6 +15,7 @@ from pyspark.ml.feature import (
     StandardScaler,
     StringIndexer,
     VectorAssembler,
+    VectorSlicer,
 )
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import (
@@ -76,14 +77,32 @@ def onehot_features(table: ModelTable) -> Pipeline:
     )
 
 
+class WithoutLastSlot(Estimator):
+    """Fits a stage that cuts the last slot off a vector; a single slot becomes 0."""
+
+    def __init__(self, vector: str, out: str):
+        super().__init__()
+        self.vector, self.out = vector, out
+
+    def _fit(self, dataset: DataFrame) -> Transformer:
+        size = dataset.schema[self.vector].metadata["ml_attr"]["num_attrs"]
+        if size == 1:
+            zero = Vectors.dense([0.0])
+            return ElementwiseProduct(inputCol=self.vector, outputCol=self.out, scalingVec=zero)
+        kept = list(range(size - 1))
+        return VectorSlicer(inputCol=self.vector, outputCol=self.out, indices=kept)
+
+
 def scaled_features(table: ModelTable, train_rows: int) -> Pipeline:
     """Numbers scaled to population deviation 1 beside one-hot slots without the first label.
 
-    Indexing in descending text order makes the encoder drop the alphabetically
-    first label. Spark scales by the sample deviation; the constant factor turns
-    that into the population deviation.
+    Indexing in descending text order puts the alphabetically first label into the
+    last slot, which is left out. The slot of labels unseen in training is dropped
+    by the encoder, so such rows have 0 in all slots. Spark scales by the sample
+    deviation; the constant factor turns that into the population deviation.
     """
     indexed = [f"{c}Index" for c in table.categorical]
+    slots = [f"{c}Slots" for c in table.categorical]
     encoded = [f"{c}Vec" for c in table.categorical]
     correction = float(np.sqrt(train_rows / max(train_rows - 1, 1)))
     return Pipeline(
@@ -92,8 +111,10 @@ def scaled_features(table: ModelTable, train_rows: int) -> Pipeline:
                 inputCols=list(table.categorical),
                 outputCols=indexed,
                 stringOrderType="alphabetDesc",
+                handleInvalid="keep",
             ),
-            OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True),
+            OneHotEncoder(inputCols=indexed, outputCols=slots, dropLast=True),
+            *[WithoutLastSlot(a, b) for a, b in zip(slots, encoded)],
             VectorAssembler(inputCols=list(table.numeric), outputCol="numbers"),
             StandardScaler(inputCol="numbers", outputCol="scaled", withMean=True, withStd=True),
             ElementwiseProduct(

@@ -51,6 +51,23 @@ def test_scaled_features_have_population_deviation_and_drop_the_first_label(scal
     assert [n for n in names if "Vec" in n] == ["AreaVec_z", "AreaVec_y"]
 
 
+def test_label_seen_in_the_test_split_only_has_zero_in_all_slots(data):
+    train, test = data
+    odd = test.limit(2).withColumn("Area", F.lit("unseen"))
+    missing = test.limit(1).withColumn("Area", F.lit(None).cast("string"))
+    features_of = regression.scaled_features(TABLE, train.count())
+    prepared = regression.prepare(train, odd.unionByName(missing), features_of, TABLE)
+    vectors = [r.features.toArray() for r in prepared.test.collect()]
+    assert len(vectors) == 3 and all((v[2:] == 0).all() and len(v) == 4 for v in vectors)
+
+
+def test_a_single_label_becomes_a_zero_slot(data):
+    train = data[0].withColumn("Area", F.lit("x"))
+    features_of = regression.scaled_features(TABLE, train.count())
+    prepared = regression.prepare(train, train, features_of, TABLE)
+    assert all(r.features.toArray()[2:].sum() == 0 for r in prepared.test.collect())
+
+
 def test_ols_equals_the_normal_equations(scaled):
     x, y = design(scaled)
     registry = regression.scaled_models(TABLE.target, float(np.std(y, ddof=1)), len(y))
