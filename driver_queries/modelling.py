@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from driver_queries import star
 from driver_queries.registry import query, read, rounded
-from fieldpanel.functions.columns import one_row
+from fieldpanel.functions.columns import key_text, one_row
 from fieldpanel.operators import evaluate, features, neighbors, regression
 from fieldpanel.operators.regression import ModelTable
 from fieldpanel.plans import compare, preprocess
@@ -26,7 +26,7 @@ def model_base(spark, sf_dir):
 
 
 def splits(spark, sf_dir):
-    keyed = model_base(spark, sf_dir).withColumn("row_key", F.concat_ws("|", *KEY))
+    keyed = model_base(spark, sf_dir).withColumn("row_key", key_text(KEY))
     data = stage(keyed, "model_base")
     return (data, *features.hash_split(data, ["row_key"]))
 
@@ -87,9 +87,9 @@ def model_coefficients(spark, sf_dir):
 
 @query("feature_importance")
 def feature_importance(spark, sf_dir):
-    """Tree and forest importances per input column, best first."""
+    """Tree, forest and boosting importances per input column, best first."""
     prepared, registry = prepared_onehot(spark, sf_dir)
-    names = ("Decision Tree", "Random Forest")
+    names = ("Decision Tree", "Random Forest", "Gradient Boosting")
     fitted = {n: regression.fit_model(prepared, registry[n]()) for n in names}
     return regression.feature_importance(fitted, prepared, TABLE)
 
@@ -108,10 +108,9 @@ def averaged(spark, sf_dir):
 
 @query("model_leaderboard")
 def model_leaderboard(spark, sf_dir):
-    """The linear models over scaled features, ranked by R2."""
+    """The models over scaled features, ranked by R2."""
     prepared, registry = prepared_scaled(spark, sf_dir)
-    linear = {n: m for n, m in registry.items() if n != "Decision Tree"}
-    ranked = evaluate.leaderboard(regression.compare_models(prepared, linear))
+    ranked = evaluate.leaderboard(regression.compare_models(prepared, registry))
     return rounded(ranked, 4, "r2", "mae", "rmse")
 
 

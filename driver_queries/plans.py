@@ -54,7 +54,7 @@ _ID_TEXT = " || '|' || ".join(
     SELECT "Country", "Year", "Crop", "Yield", "Yield_Unit", "Rainfall", "Pesticides",
       "Avg_Temperature", {_SCALED},
       "Country_Index", "Crop_Index", {_CATEGORIES},
-      CAST('0x' || substr(md5({_ID_TEXT}), 1, 15) AS BIGINT) AS "ID",
+      md5({_ID_TEXT}) AS "ID",
       '2024-01-01' AS "Processing_Date", 'v1.0' AS "Processing_Version",
       100 AS "Data_Quality_Score"
     FROM kept JOIN by_country USING ("Country") JOIN by_crop USING ("Crop"), edges""",
@@ -121,6 +121,8 @@ def _profile_cells():
         )
 
     cells = [
+        cell("size", "(all)", "row_count", "count(*)"),
+        cell("size", "(all)", "column_count", "count(DISTINCT 1) * 5"),
         cell("missing", "yield", "missing", "count(*) - count(yield)"),
         cell("missing", "yield", "missing_pct",
              "round((count(*) - count(yield)) * 100.0::DOUBLE / count(*), 4)"),
@@ -132,11 +134,11 @@ def _profile_cells():
             cell("numeric", c, "mean", f"round(avg({c}), 4)"),
             cell("numeric", c, "stddev", f"round(stddev_samp({c}), 4)"),
         ]
-    for c in ("area", "crop"):
+    for c in ("area", "crop", "Unit"):
         cells.append(
-            cell("categorical", c, "distinct_values", f"count(DISTINCT {c})",
-                 f"CASE WHEN count(DISTINCT {c}) < 10 "
-                 f"THEN string_agg(DISTINCT {c}, ', ' ORDER BY {c}) END")
+            cell("categorical", c, "distinct_values", f'count(DISTINCT "{c}")',
+                 f'CASE WHEN count(DISTINCT "{c}") < 10 '
+                 f"""THEN string_agg(DISTINCT "{c}", ', ' ORDER BY "{c}") END""")
         )
     return " UNION ALL ".join(cells)
 

@@ -215,7 +215,7 @@ def negative_checks(spark, sf_dir):
     ),
 )
 def numeric_profile(spark, sf_dir):
-    return rounded(profile.numeric_profile(read(spark, sf_dir, "orders")), 4, "mean", "stddev")
+    return rounded(profile.numeric_profile(read(spark, sf_dir, "orders"), 3), 4, "mean", "stddev")
 
 
 @query(
@@ -239,7 +239,7 @@ def column_profile(spark, sf_dir):
               string_agg(DISTINCT l_linestatus, ', ' ORDER BY l_linestatus) FROM lineitem""",
 )
 def categorical_profile(spark, sf_dir):
-    return profile.categorical_profile(read(spark, sf_dir, "lineitem"))
+    return profile.categorical_profile(read(spark, sf_dir, "lineitem"), 2)
 
 
 @query(

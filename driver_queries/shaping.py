@@ -186,8 +186,7 @@ def schema_inspect(spark, sf_dir):
 @query(
     "add_metadata",
     """SELECT l_orderkey, l_linenumber, l_quantity, nullif(l_tax, 0) AS l_tax,
-         CAST('0x' || substr(md5(l_orderkey || '|' || l_linenumber || '|' || l_partkey), 1, 15)
-              AS BIGINT) AS "ID",
+         md5(l_orderkey || '|' || l_linenumber || '|' || l_partkey) AS "ID",
          '2024-01-01' AS "Processing_Date", 'v1.0' AS "Processing_Version",
          CASE WHEN l_tax = 0 THEN 75 ELSE 100 END AS "Data_Quality_Score"
        FROM lineitem""",

@@ -27,10 +27,16 @@ def banded(value: Column, edges: Sequence[tuple[float, str]], otherwise: str) ->
 
 
 def key_text(columns: Sequence[str | Column]) -> Column:
-    """The columns as one text key; NULL is kept apart from the empty text."""
+    """The columns as one text key, different for different values.
+
+    Backslashes, and bars where there are several columns, are escaped in values, so no
+    value can pass for the bar between two columns or for ``\\N``, which stands for NULL.
+    """
     named = [F.col(c) if isinstance(c, str) else c for c in columns]
-    parts = [F.coalesce(c.cast("string"), F.lit("\\N")) for c in named]
-    return F.concat_ws("|", *parts)
+    escaped = [F.replace(c.cast("string"), F.lit("\\"), F.lit("\\\\")) for c in named]
+    if len(escaped) > 1:
+        escaped = [F.replace(c, F.lit("|"), F.lit("\\|")) for c in escaped]
+    return F.concat_ws("|", *[F.coalesce(c, F.lit("\\N")) for c in escaped])
 
 
 def md5_number(text: Column, digits: int) -> Column:

@@ -178,8 +178,8 @@ def negative_checks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return per_column(df, columns, {"negatives": lambda c: F.count_if(column(c) < 0)})
 
 
-def numeric_profile(df: DataFrame, n: int = 3) -> DataFrame:
-    """(column, min, max, mean, stddev) of the first ``n`` numeric columns."""
+def numeric_profile(df: DataFrame, n: int | None = None) -> DataFrame:
+    """(column, min, max, mean, stddev) of all numeric columns, or of the first ``n``."""
     return per_column(
         df,
         numeric_columns(df)[:n],
@@ -206,8 +206,10 @@ def column_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     )
 
 
-def categorical_profile(df: DataFrame, n: int = 2, list_below: int = 10) -> DataFrame:
-    """(column, distinct_values, values) of the first ``n`` string columns.
+def categorical_profile(
+    df: DataFrame, n: int | None = None, list_below: int = 10
+) -> DataFrame:
+    """(column, distinct_values, values) of all string columns, or of the first ``n``.
 
     ``values`` is the sorted list when there are fewer than ``list_below``. Values
     are counted first and only such short columns are gathered, so a list never
@@ -222,7 +224,7 @@ def categorical_profile(df: DataFrame, n: int = 2, list_below: int = 10) -> Data
     short = counts.filter(F.col("distinct_values") < list_below).select("column")
     lists = (
         values.filter(F.col("value").isNotNull())
-        .join(F.broadcast(short), "column", "left_semi")  # at most n rows
+        .join(F.broadcast(short), "column", "left_semi")  # a row per column
         .groupBy("column")
         .agg(F.array_join(F.sort_array(F.collect_list("value")), ", ").alias("values"))
     )

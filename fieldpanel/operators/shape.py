@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fieldpanel.functions.columns import key_text, md5_number
+from fieldpanel.functions.columns import key_text
 
 # Names a blank CSV header gets from the readers in use.
 STRAY_INDEX_COLUMNS = ("Unnamed: 0", "_c0")
@@ -82,9 +82,9 @@ def identify_columns(
 
 
 def prepare_columns(
-    df: DataFrame, roles: Mapping[str, str] | None = None, n_extra: int = 5
+    df: DataFrame, roles: Mapping[str, str] | None = None, n_extra: int | None = None
 ) -> DataFrame:
-    """Role columns under their role names, then up to ``n_extra`` other columns.
+    """Role columns under their role names, then the other columns, or ``n_extra`` of them.
 
     A table with no recognizable column is returned as it is.
     """
@@ -131,11 +131,11 @@ def add_metadata(
     """Add ID, Processing_Date, Processing_Version and Data_Quality_Score.
 
     Without ``id_columns`` the ID is unique but not contiguous, and repeatable
-    when ``df`` scans written files. With them it is a 60-bit hash of those
-    columns: the same in every run, for keys of up to some hundred million rows.
+    when ``df`` scans written files. With them it is the MD5 of those columns as 32
+    hexadecimal digits: the same in every run, and wide enough for any table.
     """
     if id_columns:
-        row_id = md5_number(key_text(id_columns), 15)
+        row_id = F.md5(key_text(id_columns).cast("binary"))
     else:
         row_id = F.monotonically_increasing_id()
     day = F.current_date() if processing_date is None else F.lit(processing_date)

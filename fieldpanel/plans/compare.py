@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from fieldpanel.functions.columns import one_row
+from fieldpanel.functions.columns import key_text, one_row
 from fieldpanel.operators import (
     correlate,
     evaluate,
@@ -111,7 +111,7 @@ def compare(
     text, break ties between neighbours.
     """
     data = labelled(modelling_table(df), table.target)
-    data = data.withColumn("row_key", F.concat_ws("|", *[F.col(f"`{c}`") for c in key]))
+    data = data.withColumn("row_key", key_text([F.col(f"`{c}`") for c in key]))
     data = stage(data, "model_table")
     train, test = features.hash_split(data, ["row_key"], train_percent)
 

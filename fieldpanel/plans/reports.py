@@ -91,13 +91,19 @@ def explore(
     }
 
 
-def profile_report(df: DataFrame, n_numeric: int = 3, n_categorical: int = 2) -> DataFrame:
-    """(section, column, metric, value, text): missing values, numbers and categories.
+def profile_report(
+    df: DataFrame, n_numeric: int | None = None, n_categorical: int | None = None
+) -> DataFrame:
+    """(section, column, metric, value, text): size, missing values, numbers and categories.
 
-    One pass for all missing values and numbers, one for the categories.
+    One pass for all missing values and numbers, one for the categories. Both cover
+    all columns unless told to take the first few.
     """
     rows = F.count("*")
-    cells = []  # section, column, metric, value, whether to show it
+    cells = [  # section, column, metric, value, whether to show it
+        ("size", "(all)", "row_count", rows, F.lit(True)),
+        ("size", "(all)", "column_count", F.lit(len(df.columns)), F.lit(True)),
+    ]
     for c in df.columns:
         missing = F.count_if(column(c).isNull())
         percent = F.try_divide(missing * F.lit(100.0), rows)
@@ -132,7 +138,7 @@ def profile_report(df: DataFrame, n_numeric: int = 3, n_categorical: int = 2) ->
     return counted.unionByName(categories)
 
 
-def flexible_profile(df: DataFrame, n_extra: int = 5) -> DataFrame:
+def flexible_profile(df: DataFrame, n_extra: int | None = None) -> DataFrame:
     """Profile any table by roles found in its column names."""
     return profile_report(shape.prepare_columns(df, n_extra=n_extra))
 

@@ -58,6 +58,7 @@ def test_describe_and_ranges(holed):
     assert row["stddev"] == pytest.approx(np.std([2, 4, 6, -8], ddof=1))
     assert profile.negative_checks(holed, ["hg/ha"]).first()["negatives"] == 1
     assert profile.numeric_profile(holed, 1).count() == 1
+    assert profile.numeric_profile(holed).count() == len(profile.numeric_columns(holed))
 
 
 def test_quartiles_match_numpy(spark):
@@ -180,6 +181,8 @@ def test_profile_report_of_a_flexible_table(spark, rows):
     )
     found = {(r.section, r.column, r.metric): (r.value, r.text)
              for r in reports.flexible_profile(df).collect()}
+    assert found["size", "(all)", "row_count"] == (2.0, None)
+    assert found["size", "(all)", "column_count"] == (3.0, None)
     assert found["missing", "yield", "missing"] == (1.0, None)
     assert found["categorical", "area", "distinct_values"] == (2.0, "x, y")
     assert found["numeric", "year", "max"] == (1991.0, None)

@@ -62,7 +62,7 @@ def test_rainfall_alone_does_not_become_the_year():
 def test_prepare_keeps_roles_and_a_few_extras(spark):
     names = ["Year", "Country", *[f"x{i}" for i in range(8)]]
     df = spark.createDataFrame([tuple(range(10))], names)
-    assert shape.prepare_columns(df).columns == ["year", "area", "x0", "x1", "x2", "x3", "x4"]
+    assert shape.prepare_columns(df, n_extra=5).columns == ["year", "area", "x0", "x1", "x2", "x3", "x4"]
     plain = df.select("x0", "x1")
     assert shape.prepare_columns(plain).columns == ["x0", "x1"]
 
@@ -82,7 +82,20 @@ def test_metadata(spark):
     stable = shape.add_metadata(df.repartition(5), id_columns=["k", "v"])
     again = shape.add_metadata(df.coalesce(1), id_columns=["k", "v"])
     assert {r.ID for r in stable.collect()} == {r.ID for r in again.collect()}
-    assert dict(stable.dtypes)["ID"] == "bigint"
+    assert dict(stable.dtypes)["ID"] == "string"
+
+
+def test_values_with_bars_backslashes_and_nulls_have_ids_of_their_own(spark):
+    keys = [("a|b", "c"), ("a", "b|c"), ("a\\", "|b"), ("a\\|", "b"), (None, "x"), ("\\N", "x")]
+    df = spark.createDataFrame(keys, "k string, v string")
+    found = shape.add_metadata(df, id_columns=["k", "v"]).select("ID").distinct()
+    assert found.count() == len(keys)
+
+
+def test_all_columns_are_kept_unless_told_otherwise(spark):
+    df = spark.createDataFrame([(1,) * 9], ["year", *[f"c{i}" for i in range(8)]])
+    assert len(shape.prepare_columns(df).columns) == 9
+    assert shape.prepare_columns(df, n_extra=5).columns == ["year", *[f"c{i}" for i in range(5)]]
 
 
 def test_null_and_empty_text_have_different_keys(spark):
