@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from driver_queries import star
 from driver_queries.registry import exact, query, rounded
-from fieldpanel.plans import preprocess, reports
+from fieldpanel.plans import compare, preprocess, reports
 
 NUMBERS = preprocess.NUMBERS
 
@@ -156,6 +156,34 @@ def flexible_profile(spark, sf_dir):
     return rounded(reports.flexible_profile(raw), 4, "value")
 
 
+def _explore_cells():
+    """Column infos, missing values, correlations and descriptions of the modelling table."""
+    names = {made: c for c, made in compare.MODEL_NAMES.items()}
+    numbers = reports.MODEL_COLUMNS[:4] + reports.MODEL_COLUMNS[6:]
+
+    def cell(report, key, value):
+        return f"SELECT '{report}', '{key}', CAST({value} AS DOUBLE) FROM model_panel"
+
+    cells = []
+    for i, made in enumerate(reports.MODEL_COLUMNS, 1):
+        c = names.get(made, made)
+        cells.append(cell("info", made, str(i)) + " LIMIT 1")
+        cells.append(cell("missing", made, f'count(*) - count("{c}")'))
+    for a in numbers:
+        x = f'"{names.get(a, a)}"'
+        for b in numbers:
+            y = f'"{names.get(b, b)}"'
+            cells.append(cell("correlation", f"{a} {b}", f"round(corr({x}, {y}), 6) + 0.0"))
+        for metric, value in [
+            ("count", f"count({x})"), ("mean", f"avg({x})"), ("stddev", f"stddev_samp({x})"),
+            ("min", f"min({x})"), ("max", f"max({x})"),
+            *[(f"q{p}", f"quantile_cont({x}, 0.{p})") for p in (25, 50, 75)],
+        ]:
+            value = f"round(CAST({value} AS DOUBLE), 4) + 0.0"
+            cells.append(cell("description", f"{a} {metric}", value))
+    return " UNION ALL ".join(f"({c})" for c in cells)
+
+
 @query(
     "explore",
     f"""WITH {star.MODEL_SQL}, t AS (SELECT DISTINCT "Country" AS "Area", "Crop" AS "Item",
@@ -167,13 +195,9 @@ def flexible_profile(spark, sf_dir):
     UNION ALL SELECT 'total_by_item', "Crop", round(sum("Yield"), 7) FROM model_panel GROUP BY 2
     UNION ALL SELECT * FROM (SELECT 'top_areas', "Country", round(sum("Yield"), 7) AS total
       FROM model_panel GROUP BY 2 ORDER BY total DESC, "Country" LIMIT 30)
-    UNION ALL SELECT 'missing', 'avg_temp',
-      CAST(count(*) - count("Avg_Temperature") AS DOUBLE) FROM model_panel
     UNION ALL SELECT 'distinct', 'Area', CAST(count(DISTINCT "Country") AS DOUBLE) FROM model_panel
-    UNION ALL SELECT 'correlation', 'avg_temp', round(corr("Yield", "Avg_Temperature"), 6) + 0.0
-      FROM model_panel
-    UNION ALL SELECT 'description', 'hg/ha_yield', round(quantile_cont("Yield", 0.75), 7)
-      FROM model_panel""",
+    UNION ALL SELECT 'distinct', 'Item', CAST(count(DISTINCT "Crop") AS DOUBLE) FROM model_panel
+    UNION ALL {_explore_cells()}""",
 )
 def explore(spark, sf_dir):
     """One long table from the parts of the exploration of the averaged modelling table."""
@@ -192,20 +216,24 @@ def explore(spark, sf_dir):
         part("count_by_item", found["count_by_item"], "Item", "row_count"),
         part("total_by_item", found["total_by_item"], "Item", "total"),
         part("top_areas", found["top_areas"], "Area", "total"),
-        part("missing", found["missing"].filter("column = 'avg_temp'"), "column", "nulls"),
-        part("distinct", found["distinct"].filter("column = 'Area'"), "column", "distinct_values"),
+        part("info", found["info"], "column", "ordinal"),
+        part("missing", found["missing"], "column", "nulls"),
+        part("distinct", found["distinct"], "column", "distinct_values"),
         part(
             "correlation",
-            found["correlation"].filter("col_i = 'hg/ha_yield' AND col_j = 'avg_temp'"),
-            "col_j",
+            found["correlation"].withColumn("pair", F.concat_ws(" ", "col_i", "col_j")),
+            "pair",
             "corr",
             6,
         ),
         part(
             "description",
-            found["description"].filter("column = 'hg/ha_yield'"),
-            "column",
-            "q75",
+            found["description"]
+            .unpivot("column", found["description"].columns[1:], "metric", "found")
+            .withColumn("cell", F.concat_ws(" ", "column", "metric")),
+            "cell",
+            "found",
+            4,
         ),
     ]
     out = pieces[0]

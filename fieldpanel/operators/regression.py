@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from functools import partial
 
 import numpy as np
+from pyspark.errors import PySparkException
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.base import Estimator
 from pyspark.ml.feature import (
@@ -215,13 +216,14 @@ def regressor(model: PipelineModel) -> Transformer:
 def fit_all(
     prepared: Prepared, registry: Mapping[str, Callable[[], Estimator]]
 ) -> tuple[dict[str, PipelineModel], dict[str, str]]:
-    """Fit each model. A model that fails is reported and does not stop the others."""
+    """Fit each model. A model that its data or parameters rule out is reported and does
+    not stop the others; failures of the cluster pass on."""
     fitted: dict[str, PipelineModel] = {}
     failed: dict[str, str] = {}
     for name, make in registry.items():
         try:
             fitted[name] = fit_model(prepared, make())
-        except Exception as error:  # noqa: BLE001 - recorded in the result
+        except (PySparkException, ValueError) as error:
             failed[name] = f"{type(error).__name__}: {error}".splitlines()[0]
     return fitted, failed
 

@@ -12,6 +12,7 @@ from fieldpanel.plans.preprocess import NUMBERS
 from fieldpanel.sources import sinks
 from fieldpanel.staging import stage
 
+# The columns of the modelling file, in order.
 MODEL_COLUMNS = [
     "Year", "average_rain_fall_mm_per_year", "pesticides_tonnes", "avg_temp", "Area", "Item",
     "hg/ha_yield",
