@@ -9,6 +9,7 @@ from driver_queries import (  # noqa: F401 - importing registers the queries
     modelling,
     plans,
     profiling,
+    properties,
     shaping,
 )
 

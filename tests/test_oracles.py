@@ -19,7 +19,8 @@ USUAL = [
     "integrate_panel", "integration_trace", "standardize_keys", "key_counts", "duplicate_count",
     "describe_quartiles", "column_profile", "categorical_profile", "correlation_ranking",
     "string_index", "quantile_cuts", "mean_impute", "regression_metrics", "preprocess_full",
-    "quality_report", "knn_sweep",
+    "quality_report", "knn_sweep", "fit_scaled_models", "random_split_parts",
+    "random_sample_members", "scored_rows",
 ]
 NAMES = list(entry.oracle_sql()) if os.environ.get("FIELDPANEL_ALL_QUERIES") else USUAL
 
