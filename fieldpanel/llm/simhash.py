@@ -29,9 +29,9 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from fieldpanel.llm.common import stage
+from fieldpanel.llm.common import stage, text_of
 from fieldpanel.llm.components import components
 from fieldpanel.shipping import ship
 
@@ -115,9 +115,15 @@ def keys(fingerprints: np.ndarray, probe: bool) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate([m[0] for m in made]), np.concatenate([m[1] for m in made])
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fp) of every document; fp holds the 64 bits as a signed number."""
+def fingerprints(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", digest: Column | None = None
+) -> DataFrame:
+    """(doc_id, fp) of every document, and its digest where one is given.
+
+    fp holds the 64 bits as a signed number.
+    """
     ship(docs.sparkSession)
+    extra = [] if digest is None else ["digest"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from fieldpanel.llm.simhash import fingerprint as made
@@ -126,10 +132,13 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
             found = np.array([made(t.as_py() or "") for t in batch.column(1)], np.uint64)
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": batch.column(0), "fp": pa.array(found.view(np.int64))}
+                | {name: batch.column(2) for name in extra}
             )
 
-    columns = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return columns.mapInArrow(run, "doc_id bigint, fp bigint")
+    columns = [F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")]
+    columns += [] if digest is None else [digest.alias("digest")]
+    schema = ", ".join(["doc_id bigint, fp bigint", *[f"{name} string" for name in extra]])
+    return docs.select(*columns).mapInArrow(run, schema)
 
 
 def _keyed(distinct: DataFrame, probe: bool, name: str) -> DataFrame:
@@ -151,37 +160,57 @@ def links(distinct: DataFrame) -> DataFrame:
     return pairs.where((F.col("a") < F.col("b")) & (differing <= MAX_BITS)).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, fp, component_id (smallest reachable doc_id)."""
-    marked = stage(fingerprints(docs, doc_id, text), "fingerprints")
+def _groups(marked: DataFrame) -> DataFrame:
+    """(fp, root, component_id) of every distinct fingerprint; root is its least linked one."""
     distinct = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct")
     found = components(links(distinct).distinct())
     rooted = distinct.join(found, F.col("fp") == F.col("node"))
     least = rooted.groupBy("root").agg(F.min("low").alias("component"))
     linked = stage(
-        rooted.join(least, "root").select(F.col("fp").alias("node"), "component"), "components"
+        rooted.join(least, "root").select(F.col("fp").alias("node"), "root", "component"),
+        "components",
     )
-    named = distinct.join(linked, F.col("fp") == F.col("node"), "left").select(
-        "fp", F.coalesce("component", "low").alias("component_id")
+    return distinct.join(linked, F.col("fp") == F.col("node"), "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"),
+        F.coalesce("component", "low").alias("component_id"),
     )
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: doc_id, fp, component_id (smallest reachable doc_id)."""
+    marked = stage(fingerprints(docs, doc_id, text), "fingerprints")
+    return marked.join(_groups(marked), "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, one per component: its smallest identifier.
+    """The rows of ``docs`` that stay, one per component: see ``one_per_group``."""
+    digest = F.sha2(text_of(text), 256)
+    marked = stage(fingerprints(docs, doc_id, text, digest), "fingerprints")
+    found = marked.join(_groups(marked), "fp")
+    return one_per_group(docs, found.select("root", "doc_id", "digest"), doc_id, text)
 
-    Of several rows with that identifier the one with the least digest stays, and one of
-    rows that repeat as a whole.
+
+def one_per_group(docs: DataFrame, found: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """One row of ``docs`` for every root in ``found`` (root, doc_id, digest of the text).
+
+    The smallest identifier stays, null only where a group has no other; of several texts
+    with it the one with the least digest, and one of the rows that repeat both. Rows are
+    found again by identifier and text, so groups that share an identifier, or have none,
+    keep a row each.
     """
-    found = near_duplicates(docs, doc_id, text)
-    same = F.col(doc_id).cast("bigint").eqNullSafe(F.col("_id"))
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    order = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "digest")
+    rows = found.groupBy("root", "doc_id", "digest").agg(F.count(F.lit(1)).alias("n"))
     chosen = stage(
-        first.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_n")), "chosen"
+        rows.groupBy("root").agg(F.min_by(F.struct("doc_id", "digest", "n"), order).alias("row"))
+        .select(*[F.col(f"row.{name}").alias(f"_{name}") for name in ("doc_id", "digest", "n")]),
+        "chosen",
+    )
+    same = F.col(doc_id).cast("bigint").eqNullSafe(F.col("_doc_id"))
+    same &= F.sha2(text_of(text), 256) == F.col("_digest")
+    kept = docs.join(chosen, same)
+    once = kept.where(F.col("_n") == 1).select(*docs.columns)
+    row = F.struct(*docs.columns)
+    again = kept.where(F.col("_n") > 1).groupBy("_doc_id", "_digest").agg(
+        F.min_by(row, F.to_json(row)).alias("_row")
     )
-    kept = docs.join(chosen, same).drop("_id")
-    once = kept.where(F.col("_n") == 1).drop("_n")
-    digest = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
-    order = F.min_by(F.struct(*docs.columns), digest)
-    again = kept.where(F.col("_n") > 1).groupBy(F.col(doc_id).alias("_id")).agg(order.alias("_row"))
     return once.unionByName(again.select("_row.*"))

@@ -149,6 +149,21 @@ def test_simhash_of_odd_rows(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 4]
 
 
+def test_simhash_keeps_a_row_of_every_component(spark):
+    """Components without an identifier, or with the same one, keep a row each."""
+    one, two, three = (" ".join(f"{w}{i}" for i in range(40)) for w in ("alpha", "beta", "gamma"))
+    rows = [(None, one), (None, two), (None, two), (7, three), (7, one + " x"), (8, three)]
+    rows += [(9, "delta echo " * 9), (9, "foxtrot golf hotel " * 9), (9, "foxtrot golf hotel " * 9)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = simhash.fingerprints(docs.select(F.hash("text").alias("doc_id"), "text")).distinct()
+    assert found.select("fp").distinct().count() == len({text for _, text in rows})
+    groups = {simhash.fingerprint(text) for _, text in rows}
+    roots = {a: min([b for b in groups if (a ^ b).bit_count() <= 3]) for a in groups}
+    got = [tuple(r) for r in simhash.keep_one(docs).collect()]
+    assert set(got) <= set(rows)
+    assert sorted(roots[simhash.fingerprint(text)] for _, text in got) == sorted(set(roots.values()))
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.range(200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     got = components(links).collect()
