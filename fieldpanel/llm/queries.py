@@ -3,8 +3,10 @@
 from fieldpanel.llm.registry import ORACLES, QUERIES
 from fieldpanel.llm import (  # noqa: F401 - importing registers the queries
     query_chat,
+    query_clustering,
     query_dedup,
     query_fingerprint,
+    query_lines,
     query_mixture,
     query_pii,
     query_quality,
