@@ -10,6 +10,7 @@ from fieldpanel.llm import (  # noqa: F401 - importing registers the queries
     query_mixture,
     query_pii,
     query_quality,
+    query_repair,
     query_tokens,
 )
 
