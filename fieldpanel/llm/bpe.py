@@ -19,6 +19,7 @@ import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -26,6 +27,7 @@ from fieldpanel.shipping import ship
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 MEMO_PIECES, MEMO_PAIRS, MEMO_LENGTH = 200_000, 500_000, 64
+PART_BYTES = 4 << 20  # packed ids gathered before they are passed on
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -119,6 +121,46 @@ class Encoder:
         return b"".join([token[i] for i in memoryview(ids).cast("I")])
 
 
+def coded(coder: Encoder, batch: pa.RecordBatch, keep_ids: bool) -> Iterator[pa.RecordBatch]:
+    """The result rows of a batch (doc_id, text), in parts of about ``PART_BYTES`` of ids.
+
+    Ids stay packed bytes until they are the values of an Arrow list, so a task holds one part
+    beside its input batch, however many rows the batch has.
+    """
+    rows: list[tuple] = []
+    parts: list[bytes] = []
+    start = held = 0
+    for at, value in enumerate(batch.column(1)):
+        text = value.as_py() or ""
+        ids = coder.encode(text)
+        decoded = coder.decode(ids)
+        rows.append((
+            len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest(),
+            decoded == text.encode(),
+        ))
+        held += len(ids)
+        if keep_ids:
+            parts.append(ids)
+        if held >= PART_BYTES or at == batch.num_rows - 1:
+            done = batch.column(0).slice(start, len(rows))
+            yield _part(done, rows, parts if keep_ids else None)
+            rows, parts, start, held = [], [], at + 1, 0
+
+
+def _part(doc_id: pa.Array, rows: list[tuple], parts: list[bytes] | None) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.string(), pa.string(), pa.bool_())
+    arrays = [doc_id, *(pa.array(c, kind) for c, kind in zip(zip(*rows), kinds))]
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "intact"]
+    if parts is not None:
+        ends = pa.array(np.cumsum([0, *(len(p) // 4 for p in parts)]), pa.int32())
+        values = pa.Array.from_buffers(
+            pa.int32(), sum(map(len, parts)) // 4, [None, pa.py_buffer(b"".join(parts))]
+        )
+        arrays.append(pa.ListArray.from_arrays(ends, values))
+        names.append("ids")
+    return pa.RecordBatch.from_arrays(arrays, names)
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str | None = None, pattern: str | None = None) -> Encoder:
     """One encoder per Python worker; the default is the public vocabulary."""
@@ -143,35 +185,16 @@ def tokenize(
     the text's own. ``ids`` (array<int>) is returned if asked for.
     """
     ship(docs.sparkSession)
-    fields = [
-        ("doc_id", "bigint", pa.int64()),
-        ("n_tokens", "bigint", pa.int64()),
-        ("ids_sha256", "string", pa.string()),
-        ("decoded_sha256", "string", pa.string()),
-        ("intact", "boolean", pa.bool_()),
-    ]
+    schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, intact boolean"
     if keep_ids:
-        fields.append(("ids", "array<int>", pa.list_(pa.int32())))
-    schema = ", ".join(f"{name} {kind}" for name, kind, _ in fields)
+        schema += ", ids array<int>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from fieldpanel.llm.bpe import encoder as made
+        from fieldpanel.llm import bpe as made
 
-        coder = made(path, pattern)
+        coder = made.encoder(path, pattern)
         for batch in batches:
-            rows: dict[str, list] = {name: [] for name, _, _ in fields}
-            rows["doc_id"] = batch.column(0).to_pylist()
-            for value in batch.column(1):
-                text = value.as_py() or ""
-                ids = coder.encode(text)
-                decoded = coder.decode(ids)
-                rows["n_tokens"].append(len(ids) // 4)
-                rows["ids_sha256"].append(hashlib.sha256(ids).hexdigest())
-                rows["decoded_sha256"].append(hashlib.sha256(decoded).hexdigest())
-                rows["intact"].append(decoded == text.encode())
-                if keep_ids:
-                    rows["ids"].append(memoryview(ids).cast("I").tolist())
-            yield pa.RecordBatch.from_pydict(rows, pa.schema([(n, t) for n, _, t in fields]))
+            yield from made.coded(coder, batch, keep_ids)
 
     columns = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     return columns.mapInArrow(run, schema)
