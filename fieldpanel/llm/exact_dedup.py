@@ -20,7 +20,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from fieldpanel.llm.common import stage, staging_path
+from fieldpanel.llm.common import fresh, stage, staging_path
 
 # Each open RocksDB store holds 4 MB of disk, however small: a task closes its own once
 # its state is in the shared checkpoint.
@@ -209,10 +209,9 @@ def deduplicate_frame(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     docs.write.parquet(path)
     landed = spark.read.schema(docs.schema).parquet(path)
     found = deduplicate(spark, path, doc_id=doc_id, text=text)
-    kept = found.where("kept").select(
-        F.col("at.file").alias("_kept_file"), F.col("at.row").alias("_kept_row")
-    )
-    at = (F.col("_metadata.file_path") == F.col("_kept_file")) & (
-        F.col("_metadata.row_index") == F.col("_kept_row")
+    file, row = fresh(docs.columns, "_kept_file", "_kept_row")
+    kept = found.where("kept").select(F.col("at.file").alias(file), F.col("at.row").alias(row))
+    at = (F.col("_metadata.file_path") == F.col(file)) & (
+        F.col("_metadata.row_index") == F.col(row)
     )
     return landed.join(kept, at, "left_semi")

@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fieldpanel.llm.common import stage, text_of
+from fieldpanel.llm.common import fresh, stage, text_of
 from fieldpanel.llm.components import components
 from fieldpanel.shipping import ship
 
@@ -198,19 +198,21 @@ def one_per_group(docs: DataFrame, found: DataFrame, doc_id: str, text: str) ->
     found again by identifier and text, so groups that share an identifier, or have none,
     keep a row each.
     """
+    own = fresh(docs.columns, "_doc_id", "_digest", "_n", "_row")
     order = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "digest")
     rows = found.groupBy("root", "doc_id", "digest").agg(F.count(F.lit(1)).alias("n"))
     chosen = stage(
         rows.groupBy("root").agg(F.min_by(F.struct("doc_id", "digest", "n"), order).alias("row"))
-        .select(*[F.col(f"row.{name}").alias(f"_{name}") for name in ("doc_id", "digest", "n")]),
+        .select(*[F.col(f"row.{c}").alias(n) for c, n in zip(("doc_id", "digest", "n"), own)]),
         "chosen",
     )
-    same = F.col(doc_id).cast("bigint").eqNullSafe(F.col("_doc_id"))
-    same &= F.sha2(text_of(text), 256) == F.col("_digest")
+    same = F.col(doc_id).cast("bigint").eqNullSafe(F.col(own[0]))
+    same &= F.sha2(text_of(text), 256) == F.col(own[1])
     kept = docs.join(chosen, same)
-    once = kept.where(F.col("_n") == 1).select(*docs.columns)
-    row = F.struct(*docs.columns)
-    again = kept.where(F.col("_n") > 1).groupBy("_doc_id", "_digest").agg(
-        F.min_by(row, F.to_json(row)).alias("_row")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    once = kept.where(F.col(own[2]) == 1).select(*columns)
+    row = F.struct(*columns)
+    again = kept.where(F.col(own[2]) > 1).groupBy(*own[:2]).agg(
+        F.min_by(row, F.to_json(row)).alias(own[3])
     )
-    return once.unionByName(again.select("_row.*"))
+    return once.unionByName(again.select(f"{own[3]}.*"))
