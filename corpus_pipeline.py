@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldpanel.llm import bpe, exact_dedup, mixture, near_copies, quality
+from fieldpanel.llm import bpe, exact_dedup, mixture, quality, simhash
 from fieldpanel.llm.common import stage
 
 
@@ -25,8 +25,8 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near copies: five-word Jaccard of 0.8 or more."""
-    return near_copies.keep_one(docs)
+    """One document of every component of fingerprints linked within three bits."""
+    return simhash.keep_one(docs)
 
 
 def mixture_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
