@@ -41,7 +41,7 @@ from fieldpanel.llm.cuckoo import CuckooFilter
 from fieldpanel.shipping import ship
 
 SHORTEST = 10
-SHARD_KEYS = 1 << 15
+SHARD_KEYS = 1 << 12
 CELL_ROWS = 1 << 17
 _SPACE = b" \t\n\v\f\r"
 _KEY = ["k1", "k2"]
