@@ -1,15 +1,22 @@
 """Exact nearest-neighbour regression as partitioned joins.
 
-Training points are cut into boxes of similar size. A query first meets the
-points of its own box, which bounds the distance of its k-th neighbour, and then
-only the boxes that come closer than that bound. Within a box, points and queries
-are cut into blocks of bounded size; each pair of blocks yields at most k
-neighbours per query, so no pair list is ever produced and the result is exact.
+Training points are cut into boxes of about ``block_rows`` points, however many there are: a
+tree over a sample on the driver has at most ``max_boxes`` boxes, and if these would hold
+too many points, each is a region that tasks cut again by a tree of its own. Trees of regions
+stay in a table; rows meet the tree of their region as a stream, so neither the driver nor a
+task holds all boxes.
+
+A query first meets the points of its own box, which bounds the distance of its k-th
+neighbour, and then only the boxes that come closer than that bound, found by descending the
+trees. Within a box, points and queries are cut into blocks of bounded size; each pair of
+blocks yields at most k neighbours per query, so no pair list is ever produced and the
+result is exact.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import pickle
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 from operator import or_
 
@@ -17,10 +24,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from fieldpanel.shipping import ship
 from fieldpanel.staging import stage
 
 DISTANCE_DIGITS = 9  # distances equal to this many digits are ties
-SAMPLE_ROWS = 20_000  # expected rows of the sample that places the box borders
+SAMPLE_ROWS = 20_000  # expected rows of the sample that places the upper box borders
+SAMPLE_PER_BOX = 8  # expected sampled rows per box of a region
+REGION = 1 << 32  # box numbers of a region start at its number times this
 
 
 class BoxTree:
@@ -35,6 +45,9 @@ class BoxTree:
         self.children: list[list[int]] = []
         self.n_boxes = 0
         self.root = self._grow(sample, leaf_rows)
+        self.axis, self.at = np.array(self.axis, np.int64), np.array(self.at)
+        self.children = np.array(self.children, np.int64).reshape(-1, 2)
+        self.low = self.high = np.empty((0, sample.shape[1]))
 
     def _grow(self, points: np.ndarray, leaf_rows: int) -> int:
         """Halve the sample along its widest axis until a leaf is small."""
@@ -70,21 +83,52 @@ class BoxTree:
     def locate(self, points: np.ndarray) -> np.ndarray:
         """Box number of each point: all points go down one level at a time."""
         node = np.full(len(points), self.root)
-        axis, at, children = np.array(self.axis), np.array(self.at), np.array(self.children)
         moving = np.flatnonzero(node >= 0)
         while len(moving):
             here = node[moving]
-            high = points[moving, axis[here]] > at[here]
-            node[moving] = children[here, high.astype(int)]
+            high = points[moving, self.axis[here]] > self.at[here]
+            node[moving] = self.children[here, high.astype(int)]
             moving = moving[node[moving] >= 0]
         return -1 - node
 
+    def set_extents(self, boxes: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
+        """Give the boxes, and the nodes above them, the extents of the points they hold."""
+        nodes = len(self.axis)
+        shape = (nodes + self.n_boxes, low.shape[1])
+        self.low, self.high = np.full(shape, np.inf), np.full(shape, -np.inf)
+        self.low[nodes + boxes], self.high[nodes + boxes] = low, high
+        for node in range(nodes - 1, -1, -1):  # children come after their parent
+            below = self._rows(self.children[node])
+            self.low[node] = self.low[below].min(axis=0)
+            self.high[node] = self.high[below].max(axis=0)
+
+    def _rows(self, node: np.ndarray) -> np.ndarray:
+        """Places of nodes and boxes in the extents."""
+        return np.where(node >= 0, node, len(self.axis) - 1 - node)
+
+    def reach(self, points: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, box) of the boxes that come within each point's limit, by descent."""
+        rows, node = np.arange(len(points)), np.full(len(points), self.root)
+        found_rows, found_boxes = [], []
+        while len(rows):
+            at = self._rows(node)
+            value = points[rows]
+            gap = np.maximum(np.maximum(self.low[at] - value, value - self.high[at]), 0)
+            near = np.sqrt((gap**2).sum(axis=1)) <= limit[rows]
+            rows, node = rows[near], node[near]
+            box = node < 0
+            found_rows.append(rows[box])
+            found_boxes.append(-1 - node[box])
+            rows, node = np.repeat(rows[~box], 2), self.children[node[~box]].ravel()
+        none = np.empty(0, np.int64)
+        return np.concatenate([none, *found_rows]), np.concatenate([none, *found_boxes])
+
     def column(self, features: Sequence[str]) -> Column:
         """The box number as a column."""
         if self.n_boxes == 1:
-            return F.lit(0)
+            return F.lit(0).cast("bigint")
 
-        @F.pandas_udf(T.IntegerType())
+        @F.pandas_udf(T.LongType())
         def box(*values: pd.Series) -> pd.Series:
             return pd.Series(self.locate(np.column_stack(values)))
 
@@ -134,29 +178,108 @@ def _block_neighbors(features: list[str], k: int, slice_rows: int = 256):
     return nearest
 
 
-def _nearby_boxes(box_ids: np.ndarray, low: np.ndarray, high: np.ndarray, features: list[str]):
-    """Map function: the boxes, other than its own, that a query's bound reaches into."""
+def _limit(batch: pd.DataFrame) -> np.ndarray:
+    """How far a query has to look: its bound and what rounding may hide."""
+    bound = batch["_bound"].fillna(np.inf).to_numpy()
+    return bound * (1 + 1e-9) + 10.0**-DISTANCE_DIGITS
+
+
+def _reached(tree: BoxTree, features: list[str], batch: pd.DataFrame) -> pd.DataFrame:
+    """``batch`` repeated for every box its limit reaches into, named by ``_reached``."""
+    parts = []
+    for start in range(0, len(batch), 1024):
+        part = batch.iloc[start : start + 1024]
+        rows, boxes = tree.reach(part[features].to_numpy(float), _limit(part))
+        parts.append(part.iloc[rows].assign(_reached=boxes))
+    return pd.concat(parts) if parts else batch.assign(_reached=np.empty(0, np.int64))
+
+
+def _nearby_boxes(tree: BoxTree, features: list[str], keep: list[str], name: str):
+    """Map function: the boxes that a query's bound reaches into, its own left out."""
 
     def reach(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            q = batch[features].to_numpy()
-            square = np.zeros((len(q), len(box_ids)))
-            for axis in range(len(features)):
-                value = q[:, axis, None]
-                gap = np.maximum(np.maximum(low[:, axis] - value, value - high[:, axis]), 0)
-                square += gap**2
-            bound = batch["_bound"].fillna(np.inf).to_numpy()
-            slack = bound * (1 + 1e-9) + 10.0**-DISTANCE_DIGITS
-            near = np.sqrt(square) <= slack[:, None]
-            near &= box_ids[None, :] != batch["_home"].to_numpy()[:, None]
-            rows, cols = np.nonzero(near)
-            out = batch.iloc[rows][["_query", *features]].copy()
-            out["_box"] = box_ids[cols]
-            yield out
+            found = _reached(tree, features, batch)
+            if name == "_box":
+                found = found[found["_reached"] != found["_home"]]
+            yield found.rename(columns={"_reached": name})[[*keep, name]]
 
     return reach
 
 
+# --- regions: boxes that are cut again --------------------------------------
+
+
+def _grown(features: list[str], leaf_rows: int):
+    """Group function: the tree of one region from its sampled points."""
+
+    def grow(sample: pd.DataFrame) -> pd.DataFrame:
+        tree = BoxTree(sample[features].to_numpy(float), leaf_rows)
+        return pd.DataFrame(
+            {"_region": sample["_region"].iloc[:1].to_numpy(), "_tree": [pickle.dumps(tree)]}
+        )
+
+    return grow
+
+
+def _extended(width: int):
+    """Cogroup function: a region's tree with the extents of its boxes."""
+
+    def extend(trees: pd.DataFrame, boxes: pd.DataFrame) -> pd.DataFrame:
+        tree = pickle.loads(trees["_tree"].iloc[0])
+        low, high = (boxes[[f"{s}_{i}" for i in range(width)]].to_numpy() for s in ("low", "high"))
+        tree.set_extents((boxes["_box"] % REGION).to_numpy(), low, high)
+        return trees.assign(_tree=[pickle.dumps(tree)])
+
+    return extend
+
+
+def _through_trees(
+    rows: DataFrame, trees: DataFrame, use: Callable, schema: T.StructType
+) -> DataFrame:
+    """``use(tree, rows)`` for the rows of each region, as a stream behind the region's tree.
+
+    A region with more than a fair share of the rows is spread over salts. What is
+    broadcast and collected is a row per region, of which the upper tree bounds the number.
+    """
+    spark = rows.sparkSession
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = rows.groupBy("_region").agg(F.count("*").alias("n")).collect()
+    fair = max(-(-sum(r["n"] for r in counts) // width), 1)
+    salts = F.broadcast(
+        spark.createDataFrame(
+            [(r["_region"], -(-r["n"] // fair)) for r in counts], "_region bigint, _salts bigint"
+        )
+    )
+    names = rows.columns
+    spread = (
+        rows.withColumn("_tie", F.monotonically_increasing_id())
+        .join(salts, "_region")
+        .withColumn("_salt", F.pmod("_tie", "_salts"))
+        .select(*names, "_salt", F.lit(None).cast("binary").alias("_tree"))
+    )
+    heads = trees.join(salts, "_region").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_salts") - 1))
+    )
+    heads = heads.select("_region", "_salt", "_tree")
+    both = spread.unionByName(heads, allowMissingColumns=True)
+    both = both.repartition("_region", "_salt").sortWithinPartitions(
+        "_region", "_salt", F.col("_tree").isNull()
+    )
+
+    def follow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tree = None
+        for batch in batches:
+            starts = np.flatnonzero(batch["_tree"].notna().to_numpy())
+            for start, end in zip([0, *(starts + 1)], [*starts, len(batch)]):
+                if start > 0:
+                    tree = pickle.loads(batch["_tree"].iloc[start - 1])
+                if end > start:
+                    yield use(tree, batch.iloc[start:end][names])
+
+    return both.mapInPandas(follow, schema)
+
+
 def _top_k(candidates: DataFrame, k: int) -> DataFrame:
     """The k nearest candidates per query. Only k per task and query are shuffled."""
     order = Window.partitionBy("_query").orderBy("distance", "_point")
@@ -198,6 +321,7 @@ def knn_neighbors(
     is refused; ``train_key`` breaks ties.
     """
     spark = train.sparkSession
+    ship(spark)
     features = list(features)
     check_points(train, train_key, features)
     check_points(test, test_key, features)
@@ -206,7 +330,9 @@ def knn_neighbors(
     # filter on the row number trims such copies before they are shuffled.
     copies = Window.partitionBy(*features).orderBy("_point")
     points = (
-        train.select(F.col(train_key).alias("_point"), F.col(label).alias("_label"), *vector)
+        train.select(
+            F.col(train_key).alias("_point"), F.col(label).cast("double").alias("_label"), *vector
+        )
         .withColumn("_copy", F.row_number().over(copies))
         .filter(F.col("_copy") <= k)
         .drop("_copy")
@@ -217,26 +343,12 @@ def knn_neighbors(
     n_points = points.count()
     if n_points == 0:
         raise ValueError("no training rows")
-    wanted_boxes = min(max(n_points // block_rows, 1), max_boxes)
     sample = points.select(*features)
     if n_points > SAMPLE_ROWS:  # sets borders only: any borders give exact results
         sample = sample.sample(SAMPLE_ROWS / n_points, seed=7)
     sample = sample.toPandas().to_numpy()
-    tree = BoxTree(sample, max(-(-len(sample) // wanted_boxes), 1))
-    box = tree.column(features)
-
-    points = points.withColumn("_box", box)
-    extent = points.groupBy("_box").agg(
-        F.count("*").alias("n"),
-        *[F.min(c).alias(f"low_{i}") for i, c in enumerate(features)],
-        *[F.max(c).alias(f"high_{i}") for i, c in enumerate(features)],
-    )
-    # at most 2 * max_boxes rows, by construction of the tree
-    extent = extent.toPandas()
-    box_ids = extent["_box"].to_numpy()
-    axes = range(len(features))
-    low = extent[[f"low_{i}" for i in axes]].to_numpy()
-    high = extent[[f"high_{i}" for i in axes]].to_numpy()
+    boxes = _Boxes(points, queries, features, sample, n_points, block_rows, max_boxes)
+    points = boxes.points
 
     key_type = {f.name: f.dataType for f in train.schema.fields}[train_key]
     query_type = {f.name: f.dataType for f in test.schema.fields}[test_key]
@@ -248,19 +360,18 @@ def knn_neighbors(
             T.StructField("distance", T.DoubleType()),
         ]
     )
-    points = points.withColumn("_label", F.col("_label").cast("double"))
 
     def meet(visits: DataFrame) -> DataFrame:
         """Neighbours within each visited box: visits are (_query, features, _box)."""
-        waiting = visits.groupBy("_box").agg(F.count("*").alias("visits")).toPandas()
-        blocks = extent[["_box", "n"]].merge(waiting, on="_box")
-        for rows, count in (("n", "_p_blocks"), ("visits", "_q_blocks")):
-            blocks[count] = np.maximum(np.ceil(blocks[rows] / block_rows), 1).astype("int32")
-        plan = F.broadcast(  # one row per box
-            spark.createDataFrame(
-                blocks[["_box", "_p_blocks", "_q_blocks"]],
-                "_box int, _p_blocks int, _q_blocks int",
-            )
+        waiting = visits.groupBy("_box").agg(F.count("*").alias("visits"))
+        # a row per visited box: Spark broadcasts the written table only if it is small
+        plan = stage(
+            boxes.extents.join(waiting, "_box").select(
+                "_box",
+                F.ceil(F.col("n") / block_rows).cast("int").alias("_p_blocks"),
+                F.ceil(F.col("visits") / block_rows).cast("int").alias("_q_blocks"),
+            ),
+            "box_plan",
         )
         cells = ["_box", "_p_block", "_q_block"]
         left = (
@@ -281,25 +392,15 @@ def knn_neighbors(
             .applyInPandas(_block_neighbors(features, k), found)
         )
 
-    home = queries.withColumn("_box", box)
+    home = boxes.home
     first = stage(_top_k(meet(home), k), "home_neighbors")
-    if len(box_ids) == 1:
+    if boxes.only_one:
         best = first
     else:
         bounds = first.filter(F.col("rank") == k)
         bounds = bounds.select("_query", F.col("distance").alias("_bound"))
         searching = home.withColumnRenamed("_box", "_home").join(bounds, "_query", "left")
-        visit_schema = T.StructType(
-            [
-                T.StructField("_query", query_type),
-                *[T.StructField(c, T.DoubleType()) for c in features],
-                T.StructField("_box", T.IntegerType()),
-            ]
-        )
-        visits = searching.mapInPandas(
-            _nearby_boxes(box_ids, low, high, features), visit_schema
-        )
-        further = meet(stage(visits, "visits"))
+        further = meet(stage(boxes.visits(searching), "visits"))
         best = _top_k(first.drop("rank").unionByName(further), k)
     return best.select(
         F.col("_query").alias(test_key),
@@ -310,6 +411,110 @@ def knn_neighbors(
     )
 
 
+class _Boxes:
+    """Points and queries with their boxes, and the search for boxes within a bound."""
+
+    def __init__(
+        self, points: DataFrame, queries: DataFrame, features: list[str], sample: np.ndarray,
+        n_points: int, block_rows: int, max_boxes: int,
+    ):
+        self.features = features
+        wanted = max(n_points // block_rows, 1)
+        self.upper = BoxTree(sample, max(-(-len(sample) // min(wanted, max_boxes)), 1))
+        self.regions = wanted > max_boxes  # too many points for the boxes of the upper tree
+        number = self.upper.column(features)
+        if not self.regions:
+            self.points = points.withColumn("_box", number)
+            self.home = queries.withColumn("_box", number)
+            self.extents = stage(self._extents(self.points, "_box"), "boxes")
+            outline = self.extents
+        else:
+            points = points.withColumn("_region", number)
+            rate = min(SAMPLE_PER_BOX / block_rows, 1.0)
+            trees = stage(
+                points.select("_region", *features)
+                .sample(rate, seed=11)
+                .groupBy("_region")
+                .applyInPandas(_grown(features, SAMPLE_PER_BOX), "_region bigint, _tree binary"),
+                "trees",
+            )
+            # a region without a sampled point is a single box
+            some = trees.select("_region")
+            rest = points.select("_region").distinct().join(some, "_region", "left_anti")
+            single = pickle.dumps(BoxTree(np.zeros((1, len(features))), 1))
+            rest = rest.withColumn("_tree", F.lit(single))
+            trees = stage(trees.unionByName(rest), "trees")
+            self.points = stage(self._located(points, trees), "located_points")
+            at_home = queries.withColumn("_region", number)
+            self.home = stage(self._located(at_home, trees), "located_queries")
+            self.extents = stage(
+                self._extents(self.points, "_box").withColumn(
+                    "_region", F.floor(F.col("_box") / REGION)
+                ),
+                "boxes",
+            )
+            self.trees = stage(
+                trees.groupBy("_region")
+                .cogroup(self.extents.groupBy("_region"))
+                .applyInPandas(_extended(len(features)), "_region bigint, _tree binary"),
+                "trees",
+            )
+            outline = self._extents(self.points.withColumn(
+                "_region", F.floor(F.col("_box") / REGION)), "_region")
+            outline = outline.withColumnRenamed("_region", "_box")
+        # a row per box of the upper tree, at most 2 * max_boxes by its construction
+        outline = outline.toPandas()
+        sides = [[f"{s}_{i}" for i in range(len(features))] for s in ("low", "high")]
+        self.upper.set_extents(outline["_box"].to_numpy(), *(outline[c].to_numpy() for c in sides))
+        self.only_one = self.upper.n_boxes == 1 and not self.regions
+
+    def _extents(self, points: DataFrame, by: str) -> DataFrame:
+        return points.groupBy(by).agg(
+            F.count("*").alias("n"),
+            *[F.min(c).alias(f"low_{i}") for i, c in enumerate(self.features)],
+            *[F.max(c).alias(f"high_{i}") for i, c in enumerate(self.features)],
+        )
+
+    def _located(self, rows: DataFrame, trees: DataFrame) -> DataFrame:
+        """Rows with a region: the region replaced by the box."""
+        features, kept = self.features, [c for c in rows.columns if c != "_region"]
+
+        def locate(tree: BoxTree, batch: pd.DataFrame) -> pd.DataFrame:
+            box = batch["_region"] * REGION + tree.locate(batch[features].to_numpy(float))
+            return batch[kept].assign(_box=box)
+
+        schema = T.StructType([*rows.select(*kept).schema.fields, T.StructField("_box", T.LongType())])
+        return _through_trees(rows, trees, locate, schema)
+
+    def visits(self, searching: DataFrame) -> DataFrame:
+        """(_query, features, _box) for every box but its own that a query has to visit."""
+        features, out = self.features, ["_query", *self.features]
+        fields = searching.select(*out).schema.fields
+        number = T.LongType()
+        if not self.regions:
+            return searching.mapInPandas(
+                _nearby_boxes(self.upper, features, out, "_box"),
+                T.StructType([*fields, T.StructField("_box", number)]),
+            )
+        carried = [*out, "_home", "_bound"]
+        regions = searching.mapInPandas(
+            _nearby_boxes(self.upper, features, carried, "_region"),
+            T.StructType(
+                [*searching.select(*carried).schema.fields, T.StructField("_region", number)]
+            ),
+        )
+
+        def visit(tree: BoxTree, batch: pd.DataFrame) -> pd.DataFrame:
+            found = _reached(tree, features, batch)
+            found["_box"] = found["_region"] * REGION + found["_reached"]
+            return found[found["_box"] != found["_home"]][[*out, "_box"]]
+
+        return _through_trees(
+            stage(regions, "region_visits"), self.trees, visit,
+            T.StructType([*fields, T.StructField("_box", number)]),
+        )
+
+
 def knn_predict(
     neighbors: DataFrame,
     test_key: str,

@@ -3,6 +3,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from fieldpanel.operators import neighbors
 
@@ -77,6 +78,47 @@ def test_box_limit_keeps_results(spark):
     assert got == brute_force(train, queries, 3)
 
 
+def test_regions_are_cut_again(spark):
+    """Beyond max_boxes * block_rows points each upper box is a region with its own tree."""
+    rng = np.random.default_rng(10)
+    train = np.vstack([rng.normal(size=(900, 3)), np.round(rng.normal(size=(500, 3)), 1),
+                       np.full((300, 3), 0.25), rng.normal(size=(50, 3)) * 40])
+    queries = np.vstack([rng.normal(size=(80, 3)) * 2, np.full((5, 3), 0.25), train[:10]])
+    got = search(spark, train, np.arange(len(train)), queries, 7, block_rows=16, max_boxes=6)
+    assert got == brute_force(train, queries, 7)
+
+
+def test_no_box_is_much_larger_than_a_block(spark):
+    rng = np.random.default_rng(11)
+    points = spark.createDataFrame(
+        [(i, 0.0, *map(float, p)) for i, p in enumerate(rng.normal(size=(20_000, 3)))],
+        "_point bigint, _label double, f0 double, f1 double, f2 double",
+    )
+    queries = points.select(F.col("_point").alias("_query"), *FEATURES).limit(10)
+    sample = points.select(*FEATURES).limit(2000).toPandas().to_numpy()
+    boxes = neighbors._Boxes(points, queries, FEATURES, sample, 20_000, 100, 8)
+    sizes = [r.n for r in boxes.extents.collect()]
+    assert boxes.regions and sum(sizes) == 20_000
+    assert len(sizes) > 150 and np.median(sizes) < 120 and max(sizes) < 600
+    assert boxes.home.join(boxes.extents, "_box").count() == 10
+
+
+def test_descent_reaches_the_boxes_that_all_distances_reach():
+    rng = np.random.default_rng(12)
+    points = rng.normal(size=(3000, 3))
+    tree = neighbors.BoxTree(points, 50)
+    box = tree.locate(points)
+    low, high = (np.array([f(points[box == b], axis=0) for b in range(tree.n_boxes)])
+                 for f in (np.min, np.max))
+    tree.set_extents(np.arange(tree.n_boxes), low, high)
+    queries, limit = rng.normal(size=(40, 3)) * 2, rng.random(40) * 2
+    limit[0] = np.inf
+    gap = np.maximum(np.maximum(low[None] - queries[:, None], queries[:, None] - high[None]), 0)
+    want = np.argwhere(np.sqrt((gap**2).sum(axis=2)) <= limit[:, None])
+    got = np.column_stack(tree.reach(queries, limit))
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
 @settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.integers(0, 10_000), st.integers(1, 4), st.integers(5, 40))
 def test_any_shape(spark, seed, k, block_rows):
