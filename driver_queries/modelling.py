@@ -6,7 +6,7 @@ from functools import partial
 
 from pyspark.sql import functions as F
 
-from driver_queries import star
+from driver_queries import linear_sql, star
 from driver_queries.registry import query, read, rounded
 from fieldpanel.functions.columns import key_text, one_row
 from fieldpanel.operators import evaluate, features, neighbors, regression
@@ -40,9 +40,9 @@ def prepared_onehot(spark, sf_dir):
 
 def prepared_scaled(spark, sf_dir):
     _, train, test = splits(spark, sf_dir)
-    rows, deviation = regression.label_statistics(train, TABLE.target)
+    rows = train.count()
     prepared = regression.prepare(train, test, regression.scaled_features(TABLE, rows), TABLE)
-    return prepared, regression.scaled_models(TABLE.target, deviation, rows)
+    return prepared, regression.scaled_models(TABLE.target, rows)
 
 
 def metrics_for(name, prepare, spark, sf_dir):
@@ -52,6 +52,22 @@ def metrics_for(name, prepare, spark, sf_dir):
     return rounded(regression.evaluate_all(prepared, {name: fitted}), 4, "r2", "mae", "rmse")
 
 
+SWEEPS = 250  # of the descent in SQL; on these tables it stands still after some 50
+# name -> penalties as SQL (l1, l2), whether l2 goes by the label's deviation, by deviations
+LINEAR_SQL = {
+    "model_linear": linear_sql.metrics_sql("Linear Regression", ("0", "0.01", True, True), False),
+    "model_ridge": linear_sql.metrics_sql("Ridge Regression", ("0", "0.1", True, True), False),
+    "model_lasso": linear_sql.metrics_sql(
+        "Lasso Regression", ("0.01", "0", True, True), False, SWEEPS
+    ),
+    "model_elastic_net": linear_sql.metrics_sql(
+        "Elastic Net", ("0.025", "0.025", True, True), False, SWEEPS
+    ),
+    "model_ols": linear_sql.metrics_sql("Linear Regression", ("0", "0", False, True), True),
+    "model_lasso_alpha1": linear_sql.metrics_sql("Lasso", ("1.0", "0", False, False), True, SWEEPS),
+    "model_ridge_alpha1": linear_sql.metrics_sql("Ridge", ("0", "1.0 / n", False, False), True),
+}
+
 for key, name, prepare in [
     ("model_linear", "Linear Regression", prepared_onehot),
     ("model_ridge", "Ridge Regression", prepared_onehot),
@@ -64,7 +80,7 @@ for key, name, prepare in [
     ("model_ridge_alpha1", "Ridge", prepared_scaled),
     ("model_tree_deep", "Decision Tree", prepared_scaled),
 ]:
-    query(key)(partial(metrics_for, name, prepare))
+    query(key, LINEAR_SQL.get(key))(partial(metrics_for, name, prepare))
 
 
 @query("model_tree")
@@ -78,11 +94,21 @@ def model_tree(spark, sf_dir):
     )
 
 
-@query("model_coefficients")
+COEFFICIENTS_SQL = f"""{linear_sql.coefficients_sql(("0", "0.01", True, True), False)}
+    SELECT f AS name, CASE WHEN f LIKE 'AreaVec%' THEN 'Area' WHEN f LIKE 'ItemVec%' THEN 'Item'
+                           ELSE f END AS feature,
+           round(w, 4) + 0.0 AS coefficient, round(abs(w), 4) AS magnitude,
+           CASE WHEN w > 0 THEN 'increases' ELSE 'decreases' END AS direction
+    FROM fitted"""
+
+
+@query("model_coefficients", COEFFICIENTS_SQL)
 def model_coefficients(spark, sf_dir):
+    """The coefficients by slot name; a slot's number is left to the indexer."""
     prepared, registry = prepared_onehot(spark, sf_dir)
     fitted = regression.fit_model(prepared, registry["Linear Regression"]())
-    return regression.coefficients(fitted, prepared, TABLE)
+    found = regression.coefficients(fitted, prepared, TABLE).drop("slot")
+    return rounded(found, 4, "coefficient", "magnitude")
 
 
 @query("feature_importance")

@@ -74,7 +74,7 @@ def fit_onehot_models(spark, sf_dir):
     return training_fit(*modelling.prepared_onehot(spark, sf_dir))
 
 
-@query("fit_scaled_models", training_fit_sql(regression.scaled_models(TABLE.target, 1.0, 1)))
+@query("fit_scaled_models", training_fit_sql(regression.scaled_models(TABLE.target, 1)))
 def fit_scaled_models(spark, sf_dir):
     """The four models over scaled features, on the rows they were trained from."""
     return training_fit(*modelling.prepared_scaled(spark, sf_dir))

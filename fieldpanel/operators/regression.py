@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import partial
@@ -29,6 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from fieldpanel.operators.evaluate import metrics_of_many
 from fieldpanel.operators.features import max_bins
+from fieldpanel.operators.linear import MomentRegression, Moments, Penalty, moments
 from fieldpanel.staging import stage
 
 # Columns of the modelling table.
@@ -133,47 +135,61 @@ def scaled_features(table: ModelTable, train_rows: int) -> Pipeline:
 
 def onehot_models(target: str = TARGET, bins: int = 64) -> dict[str, Callable[[], Estimator]]:
     """The Spark ML line-up: name -> estimator over one-hot features."""
-    linear = partial(LinearRegression, labelCol=target, maxIter=100)
     trees = {"labelCol": target, "seed": 42, "maxBins": bins}
+
+    def linear(reg: float, share: float) -> Callable[[], Estimator]:
+        wide = partial(LinearRegression, labelCol=target, regParam=reg, elasticNetParam=share)
+        penalty = Penalty(l1=reg * share, l2=reg * (1 - share))
+        return partial(MomentRegression, target, penalty, wide)
+
     return {
-        "Linear Regression": partial(linear, regParam=0.01, elasticNetParam=0.0),
-        "Ridge Regression": partial(linear, regParam=0.1, elasticNetParam=0.0),
-        "Lasso Regression": partial(linear, regParam=0.01, elasticNetParam=1.0),
-        "Elastic Net": partial(linear, regParam=0.05, elasticNetParam=0.5),
+        "Linear Regression": linear(0.01, 0.0),
+        "Ridge Regression": linear(0.1, 0.0),
+        "Lasso Regression": linear(0.01, 1.0),
+        "Elastic Net": linear(0.05, 0.5),
         "Decision Tree": partial(DecisionTreeRegressor, maxDepth=10, **trees),
         "Random Forest": partial(RandomForestRegressor, maxDepth=10, numTrees=50, **trees),
         "Gradient Boosting": partial(GBTRegressor, maxIter=50, maxDepth=6, **trees),
     }
 
 
-def scaled_models(
-    target: str, label_deviation: float, train_rows: int
-) -> dict[str, Callable[[], Estimator]]:
+def scaled_models(target: str, train_rows: int) -> dict[str, Callable[[], Estimator]]:
     """The line-up over scaled features, with penalties per the usual alpha = 1.
 
     The lasso penalty is per row as it is. The ridge penalty applies to the sum of
-    squares, and Spark divides it by the label's deviation while solving.
+    squares, so its share per row is 1 / rows.
     """
-    linear = partial(LinearRegression, labelCol=target, maxIter=100)
-    ridge = 1.0 * label_deviation / train_rows
+    plain = {"l2_per_label": False, "standardize": False}
+    wide = partial(LinearRegression, labelCol=target, standardization=False)
+    ridge = Penalty(l2=1.0 / train_rows, **plain)
     return {
-        "Linear Regression": partial(linear, regParam=0.0),
-        "Lasso": partial(linear, regParam=1.0, elasticNetParam=1.0, standardization=False),
-        "Ridge": partial(
-            linear, regParam=ridge, elasticNetParam=0.0, standardization=False, solver="l-bfgs"
+        "Linear Regression": partial(MomentRegression, target, Penalty(), partial(wide)),
+        "Lasso": partial(
+            MomentRegression, target, Penalty(l1=1.0, **plain),
+            partial(wide, regParam=1.0, elasticNetParam=1.0),
         ),
+        "Ridge": partial(MomentRegression, target, ridge, partial(WideRidge, target, train_rows)),
         "Decision Tree": partial(DecisionTreeRegressor, labelCol=target, maxDepth=30, seed=0),
     }
 
 
-def tree_bins(df: DataFrame, table: ModelTable = ModelTable()) -> int:
-    return max_bins(df, table.categorical).first()["max_bins"]
+class WideRidge(Estimator):
+    """Spark's iterative ridge; it divides the penalty by the label's deviation while solving."""
 
+    def __init__(self, label: str, train_rows: int):
+        super().__init__()
+        self.label, self.train_rows = label, train_rows
 
-def label_statistics(train: DataFrame, target: str = TARGET) -> tuple[int, float]:
-    """Row count and sample deviation of the label."""
-    row = train.agg(F.count("*").alias("n"), F.stddev(F.col(f"`{target}`")).alias("s")).first()
-    return row["n"], row["s"] or 0.0
+    def _fit(self, dataset: DataFrame) -> Transformer:
+        deviation = dataset.agg(F.stddev(F.col(f"`{self.label}`")).alias("s")).first()["s"] or 0.0
+        return LinearRegression(
+            labelCol=self.label, regParam=deviation / self.train_rows, elasticNetParam=0.0,
+            standardization=False, solver="l-bfgs",
+        ).fit(dataset)
+
+
+def tree_bins(df: DataFrame, table: ModelTable = ModelTable()) -> int:
+    return max_bins(df, table.categorical).first()["max_bins"]
 
 
 # --- fitting ---------------------------------------------------------------
@@ -187,6 +203,19 @@ class Prepared:
     train: DataFrame
     test: DataFrame
     target: str
+    _known: dict[str, Moments] = field(default_factory=dict, repr=False, compare=False)
+    _lock: object = field(default_factory=threading.Lock, repr=False, compare=False)
+
+    @property
+    def width(self) -> int:
+        return self.train.schema["features"].metadata["ml_attr"]["num_attrs"]
+
+    def moments(self) -> Moments:
+        """The training moments, from the first model that asks: one pass for all of them."""
+        with self._lock:
+            if not self._known:
+                self._known["train"] = moments(self.train, self.target)
+            return self._known["train"]
 
 
 def prepare(
@@ -206,7 +235,11 @@ def prepare(
 
 def fit_model(prepared: Prepared, estimator: Estimator) -> PipelineModel:
     """The feature stages and one fitted regressor as a single scoring pipeline."""
-    return PipelineModel(stages=[*prepared.encoder.stages, estimator.fit(prepared.train)])
+    if isinstance(estimator, MomentRegression) and estimator.fits(prepared.width):
+        fitted = estimator.model(prepared.moments())
+    else:
+        fitted = estimator.fit(prepared.train)
+    return PipelineModel(stages=[*prepared.encoder.stages, fitted])
 
 
 def regressor(model: PipelineModel) -> Transformer:

@@ -20,7 +20,7 @@ USUAL = [
     "describe_quartiles", "column_profile", "categorical_profile", "correlation_ranking",
     "string_index", "quantile_cuts", "mean_impute", "regression_metrics", "preprocess_full",
     "quality_report", "knn_sweep", "fit_scaled_models", "random_split_parts",
-    "random_sample_members", "scored_rows",
+    "random_sample_members", "scored_rows", "model_coefficients", "model_elastic_net", "model_ols",
 ]
 NAMES = list(entry.oracle_sql()) if os.environ.get("FIELDPANEL_ALL_QUERIES") else USUAL
 

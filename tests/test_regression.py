@@ -2,10 +2,12 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from fieldpanel.operators import features, regression
+from fieldpanel.operators import features, linear, regression
+from fieldpanel.operators.linear import MomentRegression
 from fieldpanel.operators.regression import ModelTable
 from fieldpanel.plans import compare
 from fieldpanel.sources import sinks
@@ -70,7 +72,7 @@ def test_a_single_label_becomes_a_zero_slot(data):
 
 def test_ols_equals_the_normal_equations(scaled):
     x, y = design(scaled)
-    registry = regression.scaled_models(TABLE.target, float(np.std(y, ddof=1)), len(y))
+    registry = regression.scaled_models(TABLE.target, len(y))
     model = regression.regressor(regression.fit_model(scaled, registry["Linear Regression"]()))
     want = np.linalg.lstsq(np.column_stack([x, np.ones(len(x))]), y, rcond=None)[0]
     assert np.allclose([*model.coefficients.toArray(), model.intercept], want, atol=1e-6)
@@ -78,7 +80,7 @@ def test_ols_equals_the_normal_equations(scaled):
 
 def test_ridge_alpha_one_equals_the_closed_form(scaled):
     x, y = design(scaled)
-    registry = regression.scaled_models(TABLE.target, float(np.std(y, ddof=1)), len(y))
+    registry = regression.scaled_models(TABLE.target, len(y))
     model = regression.regressor(regression.fit_model(scaled, registry["Ridge"]()))
     xc, yc = x - x.mean(axis=0), y - y.mean()
     want = np.linalg.solve(xc.T @ xc + np.eye(x.shape[1]), xc.T @ yc)
@@ -87,7 +89,7 @@ def test_ridge_alpha_one_equals_the_closed_form(scaled):
 
 def test_lasso_alpha_one_equals_coordinate_descent(scaled):
     x, y = design(scaled)
-    registry = regression.scaled_models(TABLE.target, float(np.std(y, ddof=1)), len(y))
+    registry = regression.scaled_models(TABLE.target, len(y))
     model = regression.regressor(regression.fit_model(scaled, registry["Lasso"]()))
     xc, yc = x - x.mean(axis=0), y - y.mean()
     w = np.zeros(x.shape[1])
@@ -102,8 +104,8 @@ def test_lasso_alpha_one_equals_coordinate_descent(scaled):
 def test_registered_parameters():
     models = {n: make() for n, make in regression.onehot_models("y", 101).items()}
     shown = {
-        n: (m.getRegParam(), m.getElasticNetParam(), m.getMaxIter())
-        for n, m in models.items() if isinstance(m, LinearRegression)
+        n: (w.getRegParam(), w.getElasticNetParam(), w.getMaxIter())
+        for n, m in models.items() if isinstance(m, MomentRegression) for w in [m.wide()]
     }
     assert shown == {
         "Linear Regression": (0.01, 0.0, 100), "Ridge Regression": (0.1, 0.0, 100),
@@ -115,6 +117,68 @@ def test_registered_parameters():
     assert {m.getMaxBins() for n, m in models.items() if hasattr(m, "getMaxBins")} == {101}
 
 
+LINEAR = ["Linear Regression", "Ridge Regression", "Lasso Regression", "Elastic Net"]
+
+
+@pytest.mark.parametrize("name", LINEAR)
+def test_moments_give_what_spark_finds(onehot, name):
+    estimator = regression.onehot_models(TABLE.target)[name]()
+    want = LinearRegression(
+        labelCol=TABLE.target, regParam=estimator.wide().getRegParam(), tol=1e-12, maxIter=2000,
+        elasticNetParam=estimator.wide().getElasticNetParam(),
+    ).fit(onehot.train)
+    got = regression.regressor(regression.fit_model(onehot, estimator))
+    assert np.allclose(got.coefficients.toArray(), want.coefficients.toArray(), atol=2e-6)
+    assert got.intercept == pytest.approx(want.intercept, abs=2e-6)
+
+
+def test_all_linear_models_read_the_data_once(data, monkeypatch):
+    prepared = regression.prepare(*data, regression.onehot_features(TABLE), TABLE)
+    passes = []
+    real = regression.moments
+    monkeypatch.setattr(regression, "moments", lambda *a: passes.append(a) or real(*a))
+    registry = regression.onehot_models(TABLE.target)
+    fitted, failed = regression.fit_all(prepared, {n: registry[n] for n in LINEAR})
+    assert len(fitted) == 4 and not failed and len(passes) == 1
+
+
+@pytest.mark.parametrize("name", ["Linear Regression", "Lasso", "Ridge"])
+def test_wide_models_agree_with_moments(scaled, monkeypatch, name):
+    make = regression.scaled_models(TABLE.target, scaled.train.count())[name]
+    got = regression.regressor(regression.fit_model(scaled, make()))
+    monkeypatch.setattr(linear, "MAX_WIDTH", 3)
+    want = regression.regressor(regression.fit_model(scaled, make()))
+    assert np.allclose(got.coefficients.toArray(), want.coefficients.toArray(), atol=2e-3)
+
+
+def test_moments_of_odd_columns(spark):
+    """Equal columns, a constant one, and a constant label."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=200) + 1e4
+    rows = [(Vectors.dense([v, v, 7.0]), float(2 * v + 1), 5.0) for v in x]
+    df = spark.createDataFrame(rows, ["features", "y", "flat"])
+    known = linear.moments(df, "y")
+    found, intercept = linear.solve(known, linear.Penalty())
+    assert found[2] == 0 and found[0] + found[1] == pytest.approx(2, abs=1e-6)
+    assert 1e4 * found.sum() + intercept == pytest.approx(2e4 + 1, abs=1e-3)
+    for penalty in (linear.Penalty(), linear.Penalty(l1=0.1), linear.Penalty(l2=0.1)):
+        found, intercept = linear.solve(linear.moments(df, "flat"), penalty)
+        assert not found.any() and intercept == pytest.approx(5)
+    with pytest.raises(ValueError, match="no training rows"):
+        linear.moments(df.limit(0), "y")
+
+
+def test_models_from_moments_are_saved_and_loaded(data, onehot, tmp_path, rows):
+    make = regression.onehot_models(TABLE.target)["Elastic Net"]
+    model = regression.fit_model(onehot, make())
+    sinks.save_model(model, str(tmp_path / "linear"))
+    loaded = sinks.load_model(str(tmp_path / "linear"))
+    want = rows(regression.batch_score(model, data[1]), "id", "prediction")
+    assert rows(regression.batch_score(loaded, data[1]), "id", "prediction") == want
+    alone = make().fit(onehot.train)  # without shared moments
+    assert np.allclose(alone.coefficients, regression.regressor(model).coefficients)
+
+
 def test_unseen_categories_are_scored(spark, data, onehot):
     model = regression.fit_model(onehot, LinearRegression(labelCol=TABLE.target))
     request = spark.createDataFrame([("nowhere", 0.0, 0.0)], "Area string, a double, b double")
