@@ -108,12 +108,11 @@ def onehot_drop_first(spark, sf_dir):
     ),
 )
 def quantile_cuts(spark, sf_dir):
-    """Exact cuts, ranked over range partitions."""
+    """Exact cuts, found by closing in on their ranks."""
     return features.quantile_cuts(
         read(spark, sf_dir, "lineitem"),
         ["l_quantity", "l_extendedprice"],
         relative_error=0,
-        max_single_sort_rows=1000,
     )
 
 

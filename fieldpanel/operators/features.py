@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -9,8 +10,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from fieldpanel.functions.columns import key_text, md5_number, one_row
 from fieldpanel.operators.joins import attach
-from fieldpanel.operators.ordering import MAX_SINGLE_SORT_ROWS, positions, running_total
-from fieldpanel.operators.profile import column, distinct_count
+from fieldpanel.operators.ordering import MAX_SINGLE_SORT_ROWS, positions
+from fieldpanel.operators.profile import column, distinct_numbers
+from fieldpanel.operators.quantiles import values_at_ranks
 from fieldpanel.staging import stage
 
 # Category names from the lowest third to the highest.
@@ -155,11 +157,10 @@ def onehot_drop_first(df: DataFrame, label: str, keep: Sequence[str]) -> DataFra
 
 def max_bins(df: DataFrame, columns: Sequence[str], least: int = 64) -> DataFrame:
     """One row: distinct values of each column, and the tree bin count that fits them."""
-    counts = df.agg(*[distinct_count(c).alias(f"n_{c}") for c in columns])
-    sizes = [F.col(f"n_{c}") + 1 for c in columns]
-    return counts.withColumn(
-        "max_bins", F.greatest(*sizes, F.lit(least).cast("bigint")).cast("int")
-    )
+    counts = distinct_numbers(df, columns)
+    bins = max(least, *[n + 1 for n in counts.values()])
+    schema = ", ".join([*[f"`n_{c}` bigint" for c in columns], "max_bins int"])
+    return df.sparkSession.createDataFrame([(*[counts[c] for c in columns], bins)], schema)
 
 
 # --- quantiles and categories ----------------------------------------------
@@ -170,13 +171,11 @@ def quantile_cuts(
     columns: Sequence[str],
     probabilities: Sequence[float] = THIRDS,
     relative_error: float = 0.01,
-    max_single_sort_rows: int = MAX_SINGLE_SORT_ROWS,
 ) -> DataFrame:
     """(column, probability, cut): data values at the given ranks, NULL ignored.
 
     With a relative error, one pass keeps a fixed-size sketch per column. With 0
-    the ranks are exact: equal values are counted together and a distributed
-    running count finds the value at each rank.
+    the ranks are exact, found by ``quantiles.values_at_ranks``.
     """
     if relative_error > 0:
         accuracy = round(1 / relative_error)
@@ -195,56 +194,31 @@ def quantile_cuts(
             "column", F.explode(F.arrays_zip(wanted.alias("probability"), "cuts")).alias("z")
         ).select("column", F.col("z.probability"), F.col("z.cuts").alias("cut"))
 
-    ranked = ranked_values(df, columns, max_single_sort_rows).withColumn(
-        "probability", F.explode(F.array(*[F.lit(float(p)) for p in probabilities]))
-    )
-    reached = F.col("_upto") >= F.greatest(F.ceil(F.col("probability") * F.col("_rows")), F.lit(1))
-    return ranked.groupBy("column", "probability").agg(
-        F.min(F.when(reached, F.col("value"))).alias("cut")
-    )
-
-
-def ranked_values(
-    df: DataFrame, columns: Sequence[str], max_single_sort_rows: int = MAX_SINGLE_SORT_ROWS
-) -> DataFrame:
-    """(column, value, _upto, _rows): each distinct value, the rows up to it and in all."""
-    values = df.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("column"), column(c).cast("double").alias("value"))
-                    for c in columns
-                ]
-            )
-        )
-    ).filter(F.col("value").isNotNull())
-    counted = stage(
-        values.groupBy("column", "value").agg(F.count("*").alias("_n")), "value_counts"
+    exact = values_at_ranks(
+        df, columns, lambda n: [max(math.ceil(p * n), 1) for p in probabilities]
     )
-    ranked = running_total(
-        counted, [F.asc("value")], F.col("_n"), "_upto", ["column"], max_single_sort_rows
-    ).drop("_n")
-    totals = counted.groupBy("column").agg(F.sum("_n").alias("_rows"))
-    return ranked.join(F.broadcast(totals), "column")  # one row per column
+    rows = [
+        (c, float(p), cut) for c, (_, cuts) in exact.items() for p, cut in zip(probabilities, cuts)
+    ]
+    return df.sparkSession.createDataFrame(rows, "column string, probability double, cut double")
 
 
 def interpolated_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probabilities: Sequence[float],
-    max_single_sort_rows: int = MAX_SINGLE_SORT_ROWS,
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
 ) -> DataFrame:
     """(column, probability, quantile): exact, linear between the neighbouring ranks."""
-    ranked = ranked_values(df, columns, max_single_sort_rows).withColumn(
-        "probability", F.explode(F.array(*[F.lit(float(p)) for p in probabilities]))
-    )
-    place = F.col("probability") * (F.col("_rows") - 1)
-    below = F.min(F.when(F.col("_upto") > F.floor(place), F.col("value")))
-    above = F.min(F.when(F.col("_upto") > F.ceil(place), F.col("value")))
-    part = F.first(place - F.floor(place))
-    return ranked.groupBy("column", "probability").agg(
-        (below + (above - below) * part).alias("quantile")
-    )
+
+    def around(n: int) -> list[int]:
+        places = [p * (n - 1) for p in probabilities]
+        return [r for at in places for r in (math.floor(at) + 1, math.ceil(at) + 1)]
+
+    rows = []
+    for c, (n, ends) in values_at_ranks(df, columns, around).items():
+        for p, low, high in zip(probabilities, ends[::2], ends[1::2]):
+            part = p * (n - 1) - math.floor(p * (n - 1))
+            rows.append((c, float(p), low if low == high else low + (high - low) * part))
+    schema = "column string, probability double, quantile double"
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def categorize(value: Column, low: Column, high: Column, labels: Sequence[str]) -> Column:

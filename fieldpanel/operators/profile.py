@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from fieldpanel.staging import stage
+from fieldpanel.staging import reread
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -102,20 +102,69 @@ def year_coverage(tables: Mapping[str, DataFrame], year: str = "Year") -> DataFr
     )
 
 
-def distinct_count(name: str, approximate: bool = False, rsd: float = 0.02) -> Column:
-    """Distinct values other than NULL. Approximate counts keep a fixed-size sketch."""
-    if approximate:
-        return F.approx_count_distinct(column(name), rsd)
-    return F.count_distinct(column(name))
+# Types whose 64-bit hash is one to one.
+_FIXED = (
+    T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+    T.DateType, T.TimestampType, T.TimestampNTZType,
+)
+
+
+def _hashed(value: Column, kind: T.DataType) -> tuple[Column, Column]:
+    """Two 64-bit words that tell values apart; the second is 0 where the first does alone."""
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        value = value + F.lit(0.0)  # both zeros are one value
+    if isinstance(kind, _FIXED):
+        return F.xxhash64(value), F.lit(0).cast("bigint")
+    return F.xxhash64(value), F.xxhash64(F.lit("second"), value)
+
+
+def distinct_numbers(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
+    """Distinct values other than NULL of each column, exact, in one shuffle of hashes.
+
+    Every row becomes one narrow row per column, which collapses by (column, hash) before it
+    is shuffled. Where one hash stands for different values, which a second hash shows,
+    the values themselves are counted.
+    """
+    columns = list(dict.fromkeys(columns))
+    if not columns:
+        return {}
+    df = reread(df.select(*[column(c).alias(f"c{i}") for i, c in enumerate(columns)]))
+    kinds = [f.dataType for f in df.schema.fields]
+    words = [_hashed(F.col(f"c{i}"), kind) for i, kind in enumerate(kinds)]
+    cells = [
+        F.when(
+            F.col(f"c{i}").isNotNull(),
+            F.struct(F.lit(i).alias("c"), one.alias("one"), two.alias("two")),
+        )
+        for i, (one, two) in enumerate(words)
+    ]
+    keys = df.select(F.inline(F.array_compact(F.array(*cells)))).groupBy("c", "one").agg(
+        (F.min("two") != F.max("two")).alias("clash")
+    )
+    counts = dict.fromkeys(range(len(columns)), 0)
+    clashes = {}
+    per_column = keys.groupBy("c").agg(F.count("*").alias("n"), F.count_if("clash").alias("k"))
+    for row in per_column.collect():  # a row per column
+        counts[row["c"]] = row["n"]
+        if row["k"]:
+            clashes[row["c"]] = row["k"]
+    for c, hashes in clashes.items():
+        shared = keys.where((F.col("c") == c) & F.col("clash")).select("one")
+        values = df.select(F.col(f"c{c}").alias("value"), words[c][0].alias("one"))
+        values = values.join(shared, "one", "left_semi").select("value").distinct()
+        counts[c] += values.count() - hashes
+    return {name: counts[i] for i, name in enumerate(columns)}
 
 
 def distinct_counts(
     df: DataFrame, columns: Sequence[str], approximate: bool = False
 ) -> DataFrame:
-    """(column, distinct_values)."""
-    return per_column(
-        df, columns, {"distinct_values": lambda c: distinct_count(c, approximate)}
-    )
+    """(column, distinct_values) other than NULL. Approximate counts keep a fixed-size sketch."""
+    if approximate:
+        sketch = {"distinct_values": lambda c: F.approx_count_distinct(column(c), 0.02)}
+        return per_column(df, columns, sketch)
+    rows = list(distinct_numbers(df, columns).items())
+    return df.sparkSession.createDataFrame(rows, "column string, distinct_values bigint")
 
 
 def mean_stddev(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -195,15 +244,20 @@ def numeric_profile(df: DataFrame, n: int | None = None) -> DataFrame:
 def column_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     """(column, dtype, distinct_values, missing) of every column."""
     dtypes = dict(df.dtypes)
-    return per_column(
+    df = df if approximate else reread(df)
+    counts = distinct_counts(df, df.columns, approximate)
+    rows = per_column(
         df,
         df.columns,
         {
             "dtype": lambda c: F.lit(dtypes[c]),
-            "distinct_values": lambda c: distinct_count(c, approximate),
             "missing": lambda c: F.count_if(column(c).isNull()),
         },
     )
+    # a row per column on both sides
+    return rows.join(F.broadcast(counts), "column").select(
+        "column", "dtype", "distinct_values", "missing"
+    )
 
 
 def categorical_profile(
@@ -216,19 +270,16 @@ def categorical_profile(
     grows with the data.
     """
     columns = string_columns(df)[:n]
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("column"), column(c).alias("value")) for c in columns]
-    )
-    values = stage(df.select(F.inline(pairs)).distinct(), "category_values")
-    counts = values.groupBy("column").agg(F.count("value").alias("distinct_values"))
-    short = counts.filter(F.col("distinct_values") < list_below).select("column")
-    lists = (
-        values.filter(F.col("value").isNotNull())
-        .join(F.broadcast(short), "column", "left_semi")  # a row per column
-        .groupBy("column")
-        .agg(F.array_join(F.sort_array(F.collect_list("value")), ", ").alias("values"))
-    )
-    return counts.join(F.broadcast(lists), "column", "left")
+    schema = "column string, distinct_values bigint, values string"
+    if not columns:
+        return df.sparkSession.createDataFrame([], schema)
+    df = reread(df.select(*[column(c) for c in columns]))
+    counts = distinct_numbers(df, columns)
+    short = [c for c in columns if 0 < counts[c] < list_below]
+    sets = [F.array_join(F.sort_array(F.collect_set(column(c))), ", ") for c in short]
+    lists = dict(zip(short, df.agg(*sets).first())) if short else {}
+    rows = [(c, counts[c], lists.get(c)) for c in columns]
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def total_by(df: DataFrame, key: str, value: str, out: str = "total") -> DataFrame:
@@ -255,12 +306,14 @@ def random_sample(df: DataFrame, n: int = 10, seed: int | None = None) -> DataFr
 def quality_metrics(
     df: DataFrame, year: str = "Year", country: str = "Country", crop: str = "Crop"
 ) -> DataFrame:
-    """(total_records, n_years, n_countries, n_crops) from one pass."""
+    """(total_records, n_years, n_countries, n_crops)."""
+    df = reread(df.select(*[column(c) for c in (year, country, crop)]))
+    counts = distinct_numbers(df, [year, country, crop])
     return df.agg(
         F.count("*").alias("total_records"),
-        distinct_count(year).alias("n_years"),
-        distinct_count(country).alias("n_countries"),
-        distinct_count(crop).alias("n_crops"),
+        F.lit(counts[year]).cast("bigint").alias("n_years"),
+        F.lit(counts[country]).cast("bigint").alias("n_countries"),
+        F.lit(counts[crop]).cast("bigint").alias("n_crops"),
     )
 
 
@@ -272,11 +325,13 @@ def dataset_summary(
     target: str = "hg/ha_yield",
 ) -> DataFrame:
     """One row: records, areas, items, years, year range and the target's mean and range."""
+    df = reread(df.select(*[column(c) for c in dict.fromkeys((area, item, year, target))]))
+    counts = distinct_numbers(df, [area, item, year])
     return df.agg(
         F.count("*").alias("total_records"),
-        distinct_count(area).alias("n_areas"),
-        distinct_count(item).alias("n_items"),
-        distinct_count(year).alias("n_years"),
+        F.lit(counts[area]).cast("bigint").alias("n_areas"),
+        F.lit(counts[item]).cast("bigint").alias("n_items"),
+        F.lit(counts[year]).cast("bigint").alias("n_years"),
         F.min(year).alias("min_year"),
         F.max(year).alias("max_year"),
         F.mean(column(target)).alias("mean_target"),

@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from fieldpanel.operators import clean, correlate, features, profile, shape
-from fieldpanel.operators.profile import column, distinct_count
+from fieldpanel.operators.profile import column
 from fieldpanel.plans.preprocess import NUMBERS
 from fieldpanel.sources import sinks
-from fieldpanel.staging import stage
+from fieldpanel.staging import reread, stage
 
 # The columns of the modelling file, in order.
 MODEL_COLUMNS = [
@@ -25,7 +25,9 @@ def quality_report(
     keys: Sequence[str] = ("Year", "Country", "Crop"),
     not_negative: Sequence[str] = ("Yield", "Rainfall", "Pesticides"),
 ) -> DataFrame:
-    """(section, column, metric, value): the whole report from one pass."""
+    """(section, column, metric, value): one pass for all but the distinct keys."""
+    df = reread(df)
+    distinct = profile.distinct_numbers(df, keys)
     rows = F.count("*")
     cells = [("nulls", c, "nulls", F.count_if(column(c).isNull())) for c in df.columns]
     for c in numbers:
@@ -38,7 +40,7 @@ def quality_report(
             ("range", c, "max", F.max(c)),
         ]
     cells += [("negatives", c, "negatives", F.count_if(F.col(c) < 0)) for c in not_negative]
-    cells += [("coverage", c, "distinct_values", distinct_count(c)) for c in keys]
+    cells += [("coverage", c, "distinct_values", F.lit(distinct[c])) for c in keys]
     cells += [("coverage", "(all)", "row_count", rows)]
     table = F.array(
         *[
@@ -59,6 +61,7 @@ def describe_quartiles(
 ) -> DataFrame:
     """(column, count, mean, stddev, min, q25, q50, q75, max) with exact quartiles."""
     columns = list(columns) if columns is not None else profile.numeric_columns(df)
+    df = reread(df.select(*[column(c) for c in columns]))
     points = {0.25: "q25", 0.5: "q50", 0.75: "q75"}
     found = features.interpolated_quantiles(df, columns, list(points))
     quartiles = found.groupBy("column").agg(

@@ -43,6 +43,22 @@ def stage(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Plans that a second reading repeats at the cost of a scan.
+_CHEAP = {"LogicalRelation", "LocalRelation", "Project", "Filter", "Range", "LocalLimit"}
+
+
+def reread(df: DataFrame) -> DataFrame:
+    """``df`` for several readings: itself if it only scans a table, else a written copy."""
+    plans = [df._jdf.queryExecution().optimizedPlan()]
+    while plans:
+        plan = plans.pop()
+        if plan.nodeName() not in _CHEAP:
+            return stage(df, "reread")
+        children = plan.children()
+        plans += [children.apply(i) for i in range(children.size())]
+    return df
+
+
 def clear_staged(spark: SparkSession) -> bool:
     """Delete every intermediate table this application wrote."""
     root = spark._jvm.org.apache.hadoop.fs.Path(staging_root(spark))

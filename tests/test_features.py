@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
-from fieldpanel.operators import evaluate, features, ordering
+from fieldpanel.operators import evaluate, features, ordering, quantiles
 from pyspark.ml.evaluation import RegressionEvaluator
 
 
@@ -93,20 +93,62 @@ def test_max_bins(spark):
     assert features.max_bins(df, ["Item"]).first()["max_bins"] == 64
 
 
-@pytest.mark.parametrize("limit", [0, 100_000])
-def test_exact_cuts_are_ranked_data_values(spark, limit):
+def test_exact_cuts_are_ranked_data_values(spark):
     rng = np.random.default_rng(3)
     values = [float(v) for v in rng.integers(0, 25, 997)]
     df = spark.createDataFrame([(v, -v) for v in values] + [(None, None)], "a double, b double")
-    cuts = features.quantile_cuts(
-        df, ["a", "b"], relative_error=0, max_single_sort_rows=limit
-    ).collect()
+    cuts = features.quantile_cuts(df, ["a", "b"], relative_error=0).collect()
     assert len(cuts) == 4
     for row in cuts:
         ordered = sorted(values if row["column"] == "a" else [-v for v in values])
         assert row.cut == ordered[int(np.ceil(row.probability * len(ordered))) - 1]
 
 
+def odd_values():
+    rng = np.random.default_rng(17)
+    inf = np.inf
+    return {
+        "heavy": rng.standard_cauchy(700) ** 3,
+        "tiny": np.concatenate([rng.random(300) * 5e-322, [0.0, -0.0, 5e-324, -5e-324]]),
+        "huge": np.concatenate([rng.normal(size=200) * 1e308, [1.7e308, -1.7e308]]),
+        "ends": np.concatenate([[inf] * 40, [-inf] * 30, rng.normal(size=50), [0.0]]),
+        "powers": np.concatenate([10.0 ** rng.integers(-300, 300, 400), -(10.0 ** rng.integers(-300, 300, 90))]),
+        "near": 1e15 + rng.integers(0, 9, 500) / 8,
+        "one": np.full(100, 3.25),
+        "mostly": np.concatenate([np.zeros(900), rng.lognormal(0, 30, 60)]),
+        "nan": np.concatenate([rng.normal(size=60), [np.nan] * 60]),
+    }
+
+
+def test_values_at_every_rank_of_odd_columns(spark):
+    columns = odd_values()
+    longest = max(map(len, columns.values()))
+    rows = [
+        tuple(float(v[i]) if i < len(v) else None for v in columns.values()) + (None,)
+        for i in range(longest)
+    ]
+    schema = ", ".join(f"{c} double" for c in [*columns, "none"])
+    df = spark.createDataFrame(rows, schema).repartition(5)
+    ranks = lambda n: sorted({1, 2, n // 3 + 1, n // 2 + 1, n - 1, n})
+    found = quantiles.values_at_ranks(df, [*columns, "none"], ranks)
+    assert set(found) == set(columns)
+    for name, values in columns.items():
+        ordered = np.sort(values)  # NaN last
+        n, got = found[name]
+        assert n == len(values)
+        assert np.array_equal(got, [ordered[r - 1] for r in ranks(n)], equal_nan=True), name
+
+
+def test_exact_quantiles_take_few_rounds_and_no_sort(spark, monkeypatch):
+    df = spark.range(200_000).select((F.pow(F.col("id"), 3) % 1_000_003).cast("double").alias("v"))
+    passes = []
+    real = quantiles._counted
+    monkeypatch.setattr(quantiles, "_counted", lambda *a: passes.append(a[0]) or real(*a))
+    n, [median] = quantiles.values_at_ranks(df, ["v"], lambda n: [n // 2])["v"]
+    values = sorted(r.v for r in df.collect())
+    assert median == values[n // 2 - 1] and len(passes) <= 3
+
+
 def test_sketched_cuts_are_within_the_error(spark):
     df = spark.range(10_000).select(F.col("id").cast("double").alias("v"))
     for row in features.quantile_cuts(df, ["v"], relative_error=0.01).collect():

@@ -1,12 +1,14 @@
 from __future__ import annotations
 
 import math
+from datetime import date
+from decimal import Decimal
 
 import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from fieldpanel.operators import correlate, profile
 from fieldpanel.plans import reports
@@ -52,6 +54,42 @@ def test_distinct_ignores_null_and_approximation_is_close(spark, holed, rows):
     assert abs(approximate - 20_000) < 2_000
 
 
+def test_distinct_counts_of_every_type(spark):
+    rows = [
+        (i % 3 if i else None, float(i % 4) * (-1 if i % 4 == 0 else 1), f"t{i % 5}", bytes([i % 6]),
+         Decimal(i % 7), date(2000, 1, 1 + i % 8), [i % 2], Row(a=i % 3, b="x"), i % 2 == 0,
+         float("nan") if i % 2 else -0.0 if i % 4 else 0.0)
+        for i in range(40)
+    ]
+    schema = """i int, d double, s string, b binary, n decimal(30,2), day date, l array<int>,
+        r struct<a:int,b:string>, t boolean, z double"""
+    df = spark.createDataFrame(rows, schema)
+    assert profile.distinct_numbers(df, df.columns) == {
+        "i": 3, "d": 4, "s": 5, "b": 6, "n": 7, "day": 8, "l": 2, "r": 3, "t": 2, "z": 2,
+    }
+    assert profile.distinct_numbers(df.limit(0), ["i", "s"]) == {"i": 0, "s": 0}
+    assert profile.distinct_numbers(df, []) == {}
+
+
+def test_hash_clashes_are_settled_by_value(spark, monkeypatch):
+    df = spark.range(500).select(
+        F.concat(F.lit("v"), F.col("id") % 90).alias("s"), (F.col("id") % 7).alias("n")
+    )
+
+    def weak(value, kind):
+        return F.length(value.cast("string")).cast("bigint"), F.xxhash64(value)
+
+    monkeypatch.setattr(profile, "_hashed", weak)
+    assert profile.distinct_numbers(df, ["s", "n"]) == {"s": 90, "n": 7}
+
+
+def test_column_profile_expands_nothing(spark, holed):
+    for df in (profile.column_profile(holed), reports.quality_report(holed, ["n"], ["s"], ["n"])):
+        assert "Expand" not in df._jdf.queryExecution().toString()
+    counts = {r["column"]: r.distinct_values for r in profile.column_profile(holed).collect()}
+    assert counts["n"] == 4 and counts["s"] == 2
+
+
 def test_describe_and_ranges(holed):
     row = profile.describe_stats(holed, ["hg/ha"]).first()
     assert (row["count"], row["min"], row["max"]) == (4, -8.0, 6.0)
