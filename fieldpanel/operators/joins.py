@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import add, and_, or_
+from operator import add, or_
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -64,12 +64,14 @@ def salted_join(
     how: str = "inner",
     hot_share: float = HOT_SHARE,
 ) -> DataFrame:
-    """Shuffle join with each hot left key spread over its fair number of tasks.
-
-    Rows per key are counted from the key columns alone. Without a hot key this is
-    a plain join. Otherwise only hot keys pay: their right rows are repeated once
-    per salt, all other rows join on salt 0. Left rows with a NULL key never match;
-    in a left join they are spread as well, so that they do not meet in one task.
+    """Shuffle join with each key that is hot on either side spread over a grid of tasks.
+
+    Rows per key are counted from the key columns alone, on both sides. Without a hot key this
+    is a plain join. A hot key gets a fair number of salts per side: its left rows are dealt
+    over the rows of a grid and repeated along its columns, its right rows the other way
+    round, so every pair meets in exactly one cell and no cell holds more than a share of
+    either side. All other rows join in one cell. Left rows with a NULL key never match; in a
+    left join they are spread as well, so that they do not meet in one task.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"salted_join supports inner and left joins, not {how!r}")
@@ -78,34 +80,64 @@ def salted_join(
     columns = [*on, *[c for c in left.columns if c not in on], *added]
     if how == "inner":
         left = left.dropna(subset=on)
-    counts = stage(left.groupBy(*on).agg(F.count("*").alias("_rows")), "key_rows")
-    rows = counts.agg(F.sum("_rows").alias("n")).first()["n"] or 0
-    hot = counts.filter(F.col("_rows") > rows * hot_share)
-    if hot.isEmpty():
+    right = right.dropna(subset=on)
+    (hot_left, n_left), (hot_right, n_right) = (
+        _hot_keys(side, on, hot_share) for side in (left, right)
+    )
+    if hot_left.isEmpty() and hot_right.isEmpty():
         return left.join(right, on, how).select(*columns)
 
-    left = stage(left, "salted")  # fixed row order, so the salts are repeatable
+    # fixed row order, so the salts are repeatable
+    left, right = stage(left, "salted"), stage(right, "salted")
     width = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    whole = reduce(and_, [F.col(c).isNotNull() for c in on])
-    hot = stage(
-        hot.filter(whole).select(
-            *on, F.ceil(F.col("_rows") * width / F.lit(max(rows, 1))).alias("_spread")
+    grid = hot_left.withColumnRenamed("_rows", "_l").join(
+        hot_right.withColumnRenamed("_rows", "_r"), on, "full"
+    )
+    grid = stage(  # at most 2 / hot_share keys
+        grid.select(
+            *on,
+            # one salt on a side where the key is not hot, or not at all
+            F.coalesce(F.ceil(F.col("_l") * width / F.lit(max(n_left, 1))), F.lit(1)).alias("_down"),
+            F.coalesce(
+                F.ceil(F.col("_r") * width / F.lit(max(n_right, 1))), F.lit(1)
+            ).alias("_across"),
         ),
         "hot_keys",
     )
-
     null_key = reduce(or_, [F.col(c).isNull() for c in on])
-    spread = F.when(null_key, F.lit(width)).otherwise(F.coalesce("_spread", F.lit(1)))
-    salted_left = (
+    down = F.when(null_key, F.lit(width)).otherwise(F.coalesce("_down", F.lit(1)))
+    across = F.coalesce("_across", F.lit(1))
+
+    def every(number):
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), number - 1))
+
+    dealt_left = (
         left.withColumn("_row", F.monotonically_increasing_id())
-        .join(F.broadcast(hot), on, "left")
-        .withColumn("_salt", F.pmod("_row", spread))
-        .drop("_row", "_spread")
+        .join(F.broadcast(grid), on, "left")
+        .withColumn("_row", F.pmod("_row", down))
+        .withColumn("_column", every(across))
+        .withColumn("_repeated", across > 1)
+        .drop("_down", "_across")
     )
-    salted_right = (
-        right.join(F.broadcast(hot), on, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_spread", F.lit(1)) - 1)))
-        .withColumn("_salt", F.col("_salt").cast("bigint"))
-        .drop("_spread")
+    dealt_right = (
+        right.withColumn("_column", F.monotonically_increasing_id())
+        .join(F.broadcast(grid), on, "left")
+        .withColumn("_column", F.pmod("_column", across))
+        .withColumn("_row", every(F.coalesce("_down", F.lit(1))))
+        .withColumn("_met", F.lit(True))
+        .drop("_down", "_across")
     )
-    return salted_left.join(salted_right, [*on, "_salt"], how).select(*columns)
+    joined = dealt_left.join(dealt_right, [*on, "_row", "_column"], how)
+    if how == "left":
+        # a key repeated along columns has right rows, which each of its left rows meets in
+        # some column; the columns without one add nothing
+        joined = joined.where(F.col("_met").isNotNull() | ~F.col("_repeated"))
+    return joined.select(*columns)
+
+
+def _hot_keys(df: DataFrame, on: list[str], hot_share: float) -> tuple[DataFrame, int]:
+    """(keys, _rows) of at most 1 / hot_share hot keys, and the number of all rows."""
+    counts = stage(df.groupBy(*on).agg(F.count("*").alias("_rows")), "key_rows")
+    rows = counts.agg(F.sum("_rows").alias("n")).first()["n"] or 0
+    hot = counts.dropna(subset=on).filter(F.col("_rows") > max(rows * hot_share, 1))
+    return hot, rows

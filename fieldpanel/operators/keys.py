@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from operator import add
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fieldpanel.functions.country_aliases import COUNTRY_ALIASES
 from fieldpanel.staging import stage
 
-MAX_DATASETS = 62  # one bit each
+WORD_BITS = 62  # datasets per mask; more datasets take several masks
 
 
 def alias_table(spark: SparkSession, aliases: Mapping[str, str]) -> DataFrame:
@@ -39,24 +40,42 @@ def standardize_keys(
 
 
 def key_presence(tables: Mapping[str, DataFrame], column: str) -> DataFrame:
-    """Every key once, with a bit mask and count of the datasets that hold it.
+    """Every key once, with bit masks and the count of the datasets that hold it.
 
     Each dataset adds one bit to its keys. The bits merge on the map side, so one
-    shuffle of distinct keys answers every question about shared keys.
+    shuffle of distinct keys answers every question about shared keys. ``datasets_mask``
+    has the first ``WORD_BITS`` datasets, ``datasets_mask_1`` and so on those after them.
     """
-    if len(tables) > MAX_DATASETS:
-        raise ValueError(f"at most {MAX_DATASETS} datasets")
+    masks = _masks(len(tables))
     tagged = [
-        df.select(F.col(column).alias("key"), F.lit(1 << i).cast("bigint").alias("bit"))
+        df.select(
+            F.col(column).alias("key"),
+            F.lit(i // WORD_BITS).alias("word"),
+            F.lit(1 << i % WORD_BITS).cast("bigint").alias("bit"),
+        )
         for i, df in enumerate(tables.values())
     ]
-    return (
+    merged = (
         reduce(DataFrame.unionByName, tagged)
         .filter(F.col("key").isNotNull())
         .groupBy("key")
-        .agg(F.bit_or("bit").alias("datasets_mask"))
-        .withColumn("n_datasets", F.bit_count("datasets_mask"))
+        .agg(
+            *[
+                F.coalesce(F.bit_or(F.when(F.col("word") == w, F.col("bit"))), F.lit(0)).alias(mask)
+                for w, mask in enumerate(masks)
+            ]
+        )
     )
+    return merged.withColumn("n_datasets", _n_datasets(masks))
+
+
+def _masks(n_datasets: int) -> list[str]:
+    words = max(-(-n_datasets // WORD_BITS), 1)
+    return ["datasets_mask", *[f"datasets_mask_{w}" for w in range(1, words)]]
+
+
+def _n_datasets(masks: Sequence[str]) -> Column:
+    return reduce(add, [F.bit_count(mask) for mask in masks])
 
 
 def keys_in_at_least(tables: Mapping[str, DataFrame], column: str, m: int) -> DataFrame:
@@ -76,16 +95,17 @@ def key_counts(tables: Mapping[str, DataFrame], column: str) -> DataFrame:
 
 
 def _count_bits(presence: DataFrame, names: Sequence[str]) -> DataFrame:
+    masks = _masks(len(names))
     counts = [
         F.struct(
             F.lit(name).alias("dataset"),
-            F.count_if(F.getbit("datasets_mask", F.lit(i)) == 1).alias("n_keys"),
+            F.count_if(F.getbit(masks[i // WORD_BITS], F.lit(i % WORD_BITS)) == 1).alias("n_keys"),
         )
         for i, name in enumerate(names)
     ]
     common = F.struct(
         F.lit("(common)").alias("dataset"),
-        F.count_if(F.bit_count("datasets_mask") == len(names)).alias("n_keys"),
+        F.count_if(_n_datasets(masks) == len(names)).alias("n_keys"),
     )
     return presence.agg(F.array(*counts, common).alias("counts")).select(F.inline("counts"))
 
@@ -104,7 +124,7 @@ def standardize_audit(
     merged = (
         standardize_keys(found, "key", aliases)
         .groupBy("key")
-        .agg(F.bit_or("datasets_mask").alias("datasets_mask"))
+        .agg(*[F.bit_or(mask).alias(mask) for mask in _masks(len(tables))])
     )
     before = _count_bits(found, list(tables)).withColumnRenamed("n_keys", "before")
     after = _count_bits(merged, list(tables)).withColumnRenamed("n_keys", "after")

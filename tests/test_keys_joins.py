@@ -62,6 +62,21 @@ def test_audit(spark, rows):
     assert rows(keys.standardize_audit(tables)) == [("(common)", 0, 1), ("a", 2, 1), ("b", 1, 1)]
 
 
+def test_presence_over_a_hundred_tables(spark):
+    """Table i holds the keys 'all', its own number and, if even, 'even'."""
+    tables = {
+        f"t{i}": spark.createDataFrame(
+            [("all",), (str(i),)] + ([("even",)] if i % 2 == 0 else []), ["c"]
+        ).coalesce(1)
+        for i in range(100)
+    }
+    counts = {r.dataset: r.n_keys for r in keys.key_counts(tables, "c").collect()}
+    assert counts == {"(common)": 1} | {f"t{i}": 2 + (i % 2 == 0) for i in range(100)}
+    found = {r.key: r.n_datasets for r in keys.keys_in_at_least(tables, "c", 2).collect()}
+    assert found == {"all": 100, "even": 50}
+    assert [r.key for r in keys.common_keys(tables, "c").collect()] == ["all"]
+
+
 def test_duplicates(spark, rows):
     df = spark.createDataFrame([(1, None), (1, None), (1, None), (2, 1)], "a int, b int")
     assert rows(keys.duplicate_count(df)) == [(4, 2, 2)]
@@ -101,6 +116,51 @@ def test_salted_join_equals_a_plain_join(skewed, how):
     assert Counter(tuple(r) for r in salted.collect()) == want
 
 
+@pytest.fixture
+def hot_on_both(spark):
+    """One key holds half of both sides, one is hot on the right only, one on the left only."""
+    left = spark.range(800).select(
+        F.when(F.col("id") % 2 == 0, "both").when(F.col("id") % 5 == 1, "left")
+        .when(F.col("id") % 50 == 3, None).when(F.col("id") < 9, "right")
+        .otherwise(F.concat(F.lit("k"), F.col("id"))).alias("k"),
+        F.col("id").alias("v"),
+    )
+    right = spark.range(300).select(
+        F.when(F.col("id") % 2 == 0, "both").when(F.col("id") % 3 == 1, "right")
+        .when(F.col("id") % 50 == 5, None).otherwise(F.concat(F.lit("k"), F.col("id"))).alias("k"),
+        (-F.col("id")).alias("w"),
+    )
+    return left, right
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_keys_hot_on_both_sides_meet_in_a_grid(hot_on_both, how):
+    left, right = hot_on_both
+    want = Counter(tuple(r) for r in left.join(right, "k", how).select("k", "v", "w").collect())
+    got = joins.salted_join(left, right, ["k"], how, hot_share=0.05)
+    assert Counter(tuple(r) for r in got.collect()) == want
+    assert want[("both", 0, 0)] == 1 and len(want) > 60_000
+
+
+def test_a_key_hot_on_both_sides_is_spread_over_tasks(spark, hot_on_both):
+    joined = joins.salted_join(*hot_on_both, ["k"])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tasks = joined.filter("k = 'both'").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(tasks) > 4 and max(r["count"] for r in tasks) < 0.5 * 400 * 150
+
+
+def test_left_rows_without_a_hot_right_key_stay_once(spark):
+    left = spark.createDataFrame([("a", 1)] * 50 + [("b", 2)] * 3, "k string, v int")
+    right = spark.createDataFrame([("c", 3)] * 50, "k string, w int")
+    got = joins.salted_join(left, right, ["k"], "left").collect()
+    assert Counter(map(tuple, got)) == {("a", 1, None): 50, ("b", 2, None): 3}
+
+
 def test_hot_key_is_spread_over_partitions(spark, skewed):
     left, right = skewed
     joined = joins.salted_join(left, right, ["k"])
