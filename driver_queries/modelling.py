@@ -33,7 +33,7 @@ def splits(spark, sf_dir):
 
 def prepared_onehot(spark, sf_dir):
     data, train, test = splits(spark, sf_dir)
-    prepared = regression.prepare(train, test, regression.onehot_features(TABLE), TABLE)
+    prepared = regression.prepare(train, test, partial(regression.onehot_features, TABLE), TABLE)
     registry = regression.onehot_models(TABLE.target, regression.tree_bins(data, TABLE))
     return prepared, registry
 
@@ -41,7 +41,8 @@ def prepared_onehot(spark, sf_dir):
 def prepared_scaled(spark, sf_dir):
     _, train, test = splits(spark, sf_dir)
     rows = train.count()
-    prepared = regression.prepare(train, test, regression.scaled_features(TABLE, rows), TABLE)
+    features_of = partial(regression.scaled_features, TABLE, rows)
+    prepared = regression.prepare(train, test, features_of, TABLE)
     return prepared, regression.scaled_models(TABLE.target, rows)
 
 
@@ -122,9 +123,41 @@ def feature_importance(spark, sf_dir):
 
 @query("compare_models")
 def compare_models(spark, sf_dir):
-    """The full comparison: all models, the best neighbour count, ranks, bands, relative errors."""
+    """The full comparison: correlations, the summary, and all models and the best neighbour
+    count with ranks, bands and relative errors."""
     found = compare.compare(averaged(spark, sf_dir), KEY, TABLE)
-    return rounded(found["ranking"], 4, "r2", "mae", "rmse", "mae_pct", "rmse_pct")
+    return rounded(compare.comparison_report(found), 4, "value")
+
+
+def _summary_sql():
+    """The dataset summary in long form."""
+    cells = {
+        "total_records": "count(*)", "n_areas": 'count(DISTINCT "Country")',
+        "n_items": 'count(DISTINCT "Crop")', "n_years": 'count(DISTINCT "Year")',
+        "min_year": 'min("Year")', "max_year": 'max("Year")', "mean_target": 'avg("Yield")',
+        "min_target": 'min("Yield")', "max_target": 'max("Yield")',
+    }
+    return " UNION ALL ".join(
+        f"""SELECT 'summary' AS part, '(all)' AS item, '{name}' AS measure,
+        round(CAST({value} AS DOUBLE), 4) + 0.0 AS value, CAST(NULL AS VARCHAR) AS text
+        FROM model_panel""" for name, value in cells.items()
+    )
+
+
+@query(
+    "comparison_parts",
+    f"WITH {star.MODEL_SQL} {_summary_sql()} UNION ALL "
+    + " UNION ALL ".join(
+        f"""SELECT 'correlations', '{linear_sql.FEATURE_NAMES[c]}', 'corr',
+        round(corr("Yield", "{c}"), 4) + 0.0, NULL FROM model_panel"""
+        for c in linear_sql.MEASURES if c != "Year"
+    ),
+)
+def comparison_parts(spark, sf_dir):
+    """What the comparison returns beside the models."""
+    data = stage(compare.modelling_table(averaged(spark, sf_dir)), "model_table")
+    parts = compare.data_parts(compare.labelled(data, TABLE.target), TABLE)
+    return rounded(compare.comparison_report(parts), 4, "value")
 
 
 def averaged(spark, sf_dir):

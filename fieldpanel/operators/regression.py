@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.base import Estimator
 from pyspark.ml.feature import (
     ElementwiseProduct,
+    FeatureHasher,
     OneHotEncoder,
     StandardScaler,
     StringIndexer,
@@ -31,6 +34,7 @@ from pyspark.sql import DataFrame, functions as F
 from fieldpanel.operators.evaluate import metrics_of_many
 from fieldpanel.operators.features import max_bins
 from fieldpanel.operators.linear import MomentRegression, Moments, Penalty, moments
+from fieldpanel.operators.profile import column, distinct_numbers
 from fieldpanel.staging import stage
 
 # Columns of the modelling table.
@@ -38,9 +42,11 @@ CATEGORICAL = ("Area", "Item")
 NUMERIC = ("Year", "average_rain_fall_mm_per_year", "pesticides_tonnes", "avg_temp")
 TARGET = "hg/ha_yield"
 
-# A fitted pipeline keeps its category labels and one coefficient per label on the
-# driver, so the number of labels is checked before fitting.
+# A fitted pipeline keeps the labels of indexed categories, and a coefficient per label, on the
+# driver. Columns with more labels than this are hashed into slots instead.
 MAX_CATEGORIES = 1_000_000
+HASH_SLOTS = 1 << 14
+FITS_AT_ONCE = 4  # models fitted side by side
 
 
 @dataclass(frozen=True)
@@ -57,27 +63,72 @@ class ModelTable:
         return [*self.categorical, *self.numeric]
 
 
+def wide_categories(
+    df: DataFrame, columns: Sequence[str], most: int = MAX_CATEGORIES
+) -> list[str]:
+    """The columns with more than ``most`` labels, by an exact distributed count."""
+    return [c for c, n in distinct_numbers(df, columns).items() if n > most]
+
+
 def check_categories(train: DataFrame, columns: Sequence[str], most: int = MAX_CATEGORIES) -> None:
-    """Refuse category columns too wide for a model that lives on the driver."""
-    counts = train.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    wide = {c: counts[c] for c in columns if counts[c] > most}
+    """Refuse category columns too wide for a pipeline that indexes every label."""
+    wide = wide_categories(train, columns, most)
     if wide:
-        raise ValueError(f"more than {most} categories: {wide}")
+        raise ValueError(f"more than {most} categories: {', '.join(wide)}")
 
 
-def onehot_features(table: ModelTable) -> Pipeline:
-    """Indexers, one-hot encoders and the assembler; unseen labels keep a slot of their own."""
-    indexed = [f"{c}Index" for c in table.categorical]
-    encoded = [f"{c}Vec" for c in table.categorical]
-    return Pipeline(
-        stages=[
-            StringIndexer(
-                inputCols=list(table.categorical), outputCols=indexed, handleInvalid="keep"
-            ),
-            OneHotEncoder(inputCols=indexed, outputCols=encoded),
-            VectorAssembler(inputCols=[*encoded, *table.numeric], outputCol="features"),
+def hashers(columns: Sequence[str], outputs: Sequence[str], slots: int) -> list[FeatureHasher]:
+    """One stage per column that sets the slot its label hashes to; NULL sets none."""
+    return [
+        FeatureHasher(inputCols=[c], outputCol=out, numFeatures=slots)
+        for c, out in zip(columns, outputs)
+    ]
+
+
+def hash_collisions(df: DataFrame, columns: Sequence[str], slots: int = HASH_SLOTS) -> DataFrame:
+    """(column, labels, slots_used, colliding, collision_rate) of hashed category columns.
+
+    ``colliding`` counts the labels that share their slot with another. Each distinct label is
+    hashed once, by the stage the models use.
+    """
+    parts = []
+    for c, stage_ in zip(columns, hashers(columns, ["_slot"] * len(columns), slots)):
+        labels = df.select(column(c)).filter(column(c).isNotNull()).distinct()
+        # the text of a sparse vector is (size,[slots],[values])
+        slot = F.regexp_extract(F.col("_slot").cast("string"), r"\[(\d+)\]", 1)
+        parts.append(
+            stage_.transform(labels).groupBy(slot.alias("slot")).agg(F.count("*").alias("n"))
+            .agg(
+                F.coalesce(F.sum("n"), F.lit(0)).alias("labels"),
+                F.count("*").alias("slots_used"),
+                F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("colliding"),
+            )
+            .select(
+                F.lit(c).alias("column"), "labels", "slots_used", "colliding",
+                F.coalesce(F.try_divide("colliding", "labels"), F.lit(0.0)).alias("collision_rate"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def onehot_features(
+    table: ModelTable, hashed: Sequence[str] = (), slots: int = HASH_SLOTS
+) -> Pipeline:
+    """Indexers, one-hot encoders and the assembler; unseen labels keep a slot of their own.
+
+    Category columns in ``hashed`` get hashed slots: nothing is learnt of their labels.
+    """
+    indexed = [c for c in table.categorical if c not in hashed]
+    stages: list = hashers(hashed, [f"{c}Vec" for c in hashed], slots)
+    if indexed:
+        numbers = [f"{c}Index" for c in indexed]
+        stages += [
+            StringIndexer(inputCols=indexed, outputCols=numbers, handleInvalid="keep"),
+            OneHotEncoder(inputCols=numbers, outputCols=[f"{c}Vec" for c in indexed]),
         ]
-    )
+    vectors = [f"{c}Vec" for c in table.categorical]
+    assembler = VectorAssembler(inputCols=[*vectors, *table.numeric], outputCol="features")
+    return Pipeline(stages=[*stages, assembler])
 
 
 class WithoutLastSlot(Estimator):
@@ -96,28 +147,37 @@ class WithoutLastSlot(Estimator):
         return VectorSlicer(inputCol=self.vector, outputCol=self.out, indices=kept)
 
 
-def scaled_features(table: ModelTable, train_rows: int) -> Pipeline:
+def scaled_features(
+    table: ModelTable, train_rows: int, hashed: Sequence[str] = (), slots: int = HASH_SLOTS
+) -> Pipeline:
     """Numbers scaled to population deviation 1 beside one-hot slots without the first label.
 
     Indexing in descending text order puts the alphabetically first label into the
     last slot, which is left out. The slot of labels unseen in training is dropped
     by the encoder, so such rows have 0 in all slots. Spark scales by the sample
-    deviation; the constant factor turns that into the population deviation.
+    deviation; the constant factor turns that into the population deviation. Category columns
+    in ``hashed`` get hashed slots, all of which stay.
     """
-    indexed = [f"{c}Index" for c in table.categorical]
-    slots = [f"{c}Slots" for c in table.categorical]
-    encoded = [f"{c}Vec" for c in table.categorical]
-    correction = float(np.sqrt(train_rows / max(train_rows - 1, 1)))
-    return Pipeline(
-        stages=[
+    indexed = [c for c in table.categorical if c not in hashed]
+    stages: list = hashers(hashed, [f"{c}Vec" for c in hashed], slots)
+    if indexed:
+        numbers = [f"{c}Index" for c in indexed]
+        slotted = [f"{c}Slots" for c in indexed]
+        stages += [
             StringIndexer(
-                inputCols=list(table.categorical),
-                outputCols=indexed,
+                inputCols=indexed,
+                outputCols=numbers,
                 stringOrderType="alphabetDesc",
                 handleInvalid="keep",
             ),
-            OneHotEncoder(inputCols=indexed, outputCols=slots, dropLast=True),
-            *[WithoutLastSlot(a, b) for a, b in zip(slots, encoded)],
+            OneHotEncoder(inputCols=numbers, outputCols=slotted, dropLast=True),
+            *[WithoutLastSlot(a, f"{c}Vec") for a, c in zip(slotted, indexed)],
+        ]
+    correction = float(np.sqrt(train_rows / max(train_rows - 1, 1)))
+    vectors = [f"{c}Vec" for c in table.categorical]
+    return Pipeline(
+        stages=[
+            *stages,
             VectorAssembler(inputCols=list(table.numeric), outputCol="numbers"),
             StandardScaler(inputCol="numbers", outputCol="scaled", withMean=True, withStd=True),
             ElementwiseProduct(
@@ -125,7 +185,7 @@ def scaled_features(table: ModelTable, train_rows: int) -> Pipeline:
                 outputCol="standard",
                 scalingVec=Vectors.dense([correction] * len(table.numeric)),
             ),
-            VectorAssembler(inputCols=["standard", *encoded], outputCol="features"),
+            VectorAssembler(inputCols=["standard", *vectors], outputCol="features"),
         ]
     )
 
@@ -188,8 +248,10 @@ class WideRidge(Estimator):
         ).fit(dataset)
 
 
-def tree_bins(df: DataFrame, table: ModelTable = ModelTable()) -> int:
-    return max_bins(df, table.categorical).first()["max_bins"]
+def tree_bins(df: DataFrame, table: ModelTable = ModelTable(), most: int = MAX_CATEGORIES) -> int:
+    """The tree bin count that fits the categories; hashed ones are slots and need none."""
+    counts = distinct_numbers(df, table.categorical)
+    return max_bins(df, [c for c, n in counts.items() if n <= most]).first()["max_bins"]
 
 
 # --- fitting ---------------------------------------------------------------
@@ -219,10 +281,21 @@ class Prepared:
 
 
 def prepare(
-    train: DataFrame, test: DataFrame, features: Pipeline, table: ModelTable = ModelTable()
+    train: DataFrame,
+    test: DataFrame,
+    features: Pipeline | Callable[..., Pipeline],
+    table: ModelTable = ModelTable(),
+    most: int = MAX_CATEGORIES,
 ) -> Prepared:
-    """Fit the feature stages on ``train`` only and write both feature tables."""
-    check_categories(train, table.categorical)
+    """Fit the feature stages on ``train`` only and write both feature tables.
+
+    ``features`` may be a function of ``hashed``, the columns with more than ``most`` labels;
+    stages that were made already must index every label, so wide columns are refused.
+    """
+    if isinstance(features, Pipeline):
+        check_categories(train, table.categorical, most)
+    else:
+        features = features(hashed=wide_categories(train, table.categorical, most))
     encoder = features.fit(train)
     columns = ["features", F.col(f"`{table.target}`").cast("double").alias(table.target)]
     return Prepared(
@@ -247,17 +320,40 @@ def regressor(model: PipelineModel) -> Transformer:
 
 
 def fit_all(
-    prepared: Prepared, registry: Mapping[str, Callable[[], Estimator]]
+    prepared: Prepared,
+    registry: Mapping[str, Callable[[], Estimator]],
+    at_once: int = FITS_AT_ONCE,
 ) -> tuple[dict[str, PipelineModel], dict[str, str]]:
-    """Fit each model. A model that its data or parameters rule out is reported and does
-    not stop the others; failures of the cluster pass on."""
-    fitted: dict[str, PipelineModel] = {}
-    failed: dict[str, str] = {}
-    for name, make in registry.items():
+    """Fit every model, ``at_once`` of them side by side.
+
+    Each fit has its own thread, job group and scheduler pool, so one that waits for its last
+    tasks leaves the cluster to the others (with ``spark.scheduler.mode`` FAIR they also share
+    it evenly). A model that its data or parameters rule out is reported and does not stop the
+    others; failures of the cluster pass on once the running fits have ended.
+    """
+    context = prepared.train.sparkSession.sparkContext
+
+    def fit(name: str) -> PipelineModel | str:
+        context.setLocalProperty("spark.scheduler.pool", f"fit {name}")
+        context.setJobGroup(f"fit {name}", f"fit {name}", interruptOnCancel=False)
         try:
-            fitted[name] = fit_model(prepared, make())
+            return fit_model(prepared, registry[name]())
         except (PySparkException, ValueError) as error:
-            failed[name] = f"{type(error).__name__}: {error}".splitlines()[0]
+            return f"{type(error).__name__}: {error}".splitlines()[0]
+
+    fitted: dict[str, PipelineModel] = {}
+    failed: dict[str, str] = {}
+    with ThreadPoolExecutor(max(at_once, 1)) as pool:
+        waiting = {
+            name: pool.submit(inheritable_thread_target(prepared.train.sparkSession)(fit), name)
+            for name in registry
+        }
+    for name, done in waiting.items():
+        found = done.result()
+        if isinstance(found, str):
+            failed[name] = found
+        else:
+            fitted[name] = found
     return fitted, failed
 
 

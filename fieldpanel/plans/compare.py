@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import partial, reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from fieldpanel.functions.columns import key_text, one_row
 from fieldpanel.operators import (
@@ -115,7 +116,7 @@ def compare(
     data = stage(data, "model_table")
     train, test = features.hash_split(data, ["row_key"], train_percent)
 
-    prepared = regression.prepare(train, test, regression.onehot_features(table), table)
+    prepared = regression.prepare(train, test, partial(regression.onehot_features, table), table)
     registry = regression.onehot_models(table.target, regression.tree_bins(data, table))
     metrics = regression.compare_models(prepared, registry)
 
@@ -126,17 +127,53 @@ def compare(
     )
     ranked = evaluate.leaderboard(metrics.unionByName(nearest))
     mean_label = one_row(data, m=F.mean(f"`{table.target}`"))["m"]
+    ranking = evaluate.relative_errors(evaluate.performance_band(ranked), mean_label)
+    return {"ranking": ranking, **data_parts(data, table)}
+
+
+def data_parts(data: DataFrame, table: ModelTable = ModelTable()) -> dict[str, DataFrame]:
+    """The parts of a comparison that need no model: correlations and the dataset summary."""
     return {
         "correlations": correlate.target_correlations(
             data, table.target, [c for c in table.numeric if c != "Year"]
         ),
-        "ranking": evaluate.relative_errors(evaluate.performance_band(ranked), mean_label),
         "summary": profile.dataset_summary(
             data, *table.categorical, year="Year", target=table.target
         ),
     }
 
 
+def comparison_report(found: Mapping[str, DataFrame]) -> DataFrame:
+    """(part, item, measure, value, text): all parts of a comparison as one long table.
+
+    ``value`` holds numbers and ``text`` everything else.
+    """
+    parts = []
+    for part, table in found.items():
+        names = [f.name for f in table.schema.fields]
+        item = next((c for c in ("model", "column", "feature") if c in names), None)
+        cells = []
+        for field in table.schema.fields:
+            if field.name == item:
+                continue
+            value = F.col(f"`{field.name}`")
+            number = isinstance(field.dataType, T.NumericType)
+            empty = F.lit(None)
+            cells.append(
+                F.struct(
+                    F.lit(field.name).alias("measure"),
+                    (value if number else empty).cast("double").alias("value"),
+                    (empty if number else value).cast("string").alias("text"),
+                )
+            )
+        named = F.col(f"`{item}`") if item else F.lit("(all)")
+        parts.append(
+            table.select(F.lit(part).alias("part"), named.cast("string").alias("item"),
+                         F.inline(F.array(*cells)))
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 def best_model(ranking: DataFrame) -> str:
     """The first-ranked model's name."""
     return ranking.filter(F.col("rank") == 1).first()["model"]

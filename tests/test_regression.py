@@ -1,7 +1,11 @@
 from __future__ import annotations
 
+import threading
+from functools import partial
+
 import numpy as np
 import pytest
+from pyspark.ml.base import Estimator
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
@@ -226,6 +230,78 @@ def test_too_many_categories_are_refused(spark):
         regression.check_categories(df, ["c"], most=100)
 
 
+def test_wide_categories_are_hashed(spark):
+    rng = np.random.default_rng(3)
+    rows = [
+        (i, f"place {i % 700}", "xyz"[i % 3], float(rng.normal()), float(i % 700 % 5 + 3 * (i % 3)))
+        for i in range(2800)
+    ]
+    schema = "id bigint, Area string, Item string, a double, `hg/ha_yield` double"
+    df = spark.createDataFrame(rows, schema)
+    table = ModelTable(categorical=["Area", "Item"], numeric=["a"], target="hg/ha_yield")
+    train, test = features.hash_split(df, ["id"])
+    odd = test.limit(1).withColumn("Area", F.lit(None).cast("string"))
+    test = test.unionByName(odd).unionByName(odd.withColumn("Area", F.lit("unseen")))
+    assert regression.wide_categories(train, table.categorical, most=100) == ["Area"]
+    assert regression.tree_bins(train, table, most=100) == 64
+    for features_of in (regression.onehot_features, partial(regression.scaled_features, train_rows=9)):
+        made = partial(features_of, table, slots=4096)
+        prepared = regression.prepare(train, test, made, table, most=100)
+        names = regression.slot_names(prepared.train)
+        hashed = [n for n in names if n.startswith("AreaVec_")]
+        assert len(hashed) == 4096 and regression.logical_feature(hashed[7], table) == "Area"
+        estimator = regression.onehot_models(table.target)["Ridge Regression"]()
+        model = regression.fit_model(prepared, estimator)
+        metrics = regression.evaluate_all(prepared, {"ridge": model}).first()
+        assert metrics.r2 > 0.8  # what a label says survives in its slot
+        assert prepared.test.count() == test.count()
+        # the labels are nowhere in the pipeline
+        assert not any("Area" in str(s.labelsArray) for s in prepared.encoder.stages
+                       if hasattr(s, "labelsArray"))
+
+
+def test_collisions_are_measured(spark):
+    df = spark.range(5000).select(
+        F.concat(F.lit("label "), F.col("id") % 1000).alias("c"),
+        F.when(F.col("id") % 2 == 0, "even").alias("d"),
+    )
+    found = {r["column"]: r for r in regression.hash_collisions(df, ["c", "d"], 512).collect()}
+    c, d = found["c"], found["d"]
+    assert c.labels == 1000 and c.slots_used < 512 and c.collision_rate == c.colliding / 1000
+    assert 1000 - c.colliding < c.slots_used <= 1000 - c.colliding / 2
+    assert (d.labels, d.slots_used, d.colliding, d.collision_rate) == (1, 1, 0, 0.0)
+    wide = regression.hash_collisions(df, ["c"], 1 << 18).first()
+    assert wide.collision_rate < 0.02
+
+
+def test_fits_run_side_by_side_and_apart(onehot):
+    barrier = threading.Barrier(3, timeout=60)
+
+    class Waiting(Estimator):
+        """Ends only while two others are being fitted as well."""
+
+        def __init__(self, fails):
+            super().__init__()
+            self.fails = fails
+
+        def _fit(self, dataset):
+            barrier.wait()
+            if self.fails:
+                raise ValueError("no such model")
+            return LinearRegression(labelCol=TABLE.target).fit(dataset)
+
+    registry = {n: partial(Waiting, n == "b") for n in "abc"}
+    fitted, failed = regression.fit_all(onehot, registry, at_once=3)
+    assert list(fitted) == ["a", "c"] and failed == {"b": "ValueError: no such model"}
+    one_by_one, _ = regression.fit_all(
+        onehot, {n: regression.onehot_models(TABLE.target)[n] for n in LINEAR}, at_once=1
+    )
+    side, _ = regression.fit_all(onehot, {n: regression.onehot_models(TABLE.target)[n] for n in LINEAR})
+    for name in LINEAR:
+        got, want = (regression.regressor(m[name]).coefficients for m in (side, one_by_one))
+        assert np.allclose(got, want)
+
+
 def test_neighbor_sweep_finds_structure(spark, data):
     train, test = (d.withColumn("row", F.col("id").cast("string")) for d in data)
     sweep = compare.knn_sweep(train, test, "row", ks=[3, 5], table=TABLE, block_rows=40)
