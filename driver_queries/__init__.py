@@ -4,6 +4,7 @@ from driver_queries.registry import ORACLES, QUERIES
 from driver_queries import (  # noqa: F401 - importing registers the queries
     correlating,
     encoding,
+    jobs,
     joining,
     keying,
     modelling,
@@ -11,6 +12,7 @@ from driver_queries import (  # noqa: F401 - importing registers the queries
     profiling,
     properties,
     shaping,
+    stumps,
 )
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -35,7 +35,7 @@ from fieldpanel.operators.evaluate import metrics_of_many
 from fieldpanel.operators.features import max_bins
 from fieldpanel.operators.linear import MomentRegression, Moments, Penalty, moments
 from fieldpanel.operators.profile import column, distinct_numbers
-from fieldpanel.staging import stage
+from fieldpanel.staging import stage, staging_path
 
 # Columns of the modelling table.
 CATEGORICAL = ("Area", "Item")
@@ -451,3 +451,52 @@ def tree_shape(models: Mapping[str, PipelineModel], spark) -> DataFrame:
     """(model, depth, nodes) of single-tree models."""
     rows = [(n, regressor(m).depth, regressor(m).numNodes) for n, m in models.items()]
     return spark.createDataFrame(rows, "model string, depth int, nodes int")
+
+
+def tree_splits(models: Mapping[str, PipelineModel], prepared: Prepared) -> DataFrame:
+    """(model, tree, node, name, feature, threshold, values, gain, rows, prediction, low, high).
+
+    One row per node; leaves have no name and no children. ``rows`` are the training rows of the
+    node, ``low`` and ``high`` its child nodes: values up to ``threshold`` go to ``low``, or those
+    in ``values`` where the feature is a one-hot slot. The nodes are read from the models as
+    they are saved, so a large forest stays a table.
+    """
+    spark = prepared.train.sparkSession
+    table = ModelTable()
+    names = slot_names(prepared.train)
+    slots = F.broadcast(  # as wide as the feature vector
+        spark.createDataFrame(
+            [(i, n, logical_feature(n, table)) for i, n in enumerate(names)],
+            "slot int, name string, feature string",
+        )
+    )
+    parts = []
+    for model_name, model in models.items():
+        path = staging_path(spark, "tree")
+        regressor(model).write().overwrite().save(path)
+        data = spark.read.parquet(f"{path}/data")
+        single = "nodeData" not in data.columns
+        node = (lambda c: F.col(c)) if single else (lambda c: F.col(f"nodeData.{c}"))
+        split, inner = node("split"), node("leftChild") >= 0
+        number = split["numCategories"] < 0
+        parts.append(
+            data.select(
+                F.lit(model_name).alias("model"),
+                (F.lit(0) if single else F.col("treeID")).alias("tree"),
+                node("id").alias("node"),
+                F.when(inner, split["featureIndex"]).alias("slot"),
+                F.when(inner & number, F.get(split["leftCategoriesOrThreshold"], 0)).alias(
+                    "threshold"
+                ),
+                F.when(inner & ~number, split["leftCategoriesOrThreshold"]).alias("values"),
+                F.when(inner, node("gain")).alias("gain"),
+                node("rawCount").alias("rows"),
+                node("prediction").alias("prediction"),
+                F.when(inner, node("leftChild")).alias("low"),
+                F.when(inner, node("rightChild")).alias("high"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts).join(slots, "slot", "left").select(
+        "model", "tree", "node", "name", "feature", "threshold", "values", "gain", "rows",
+        "prediction", "low", "high",
+    )

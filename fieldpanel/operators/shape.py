@@ -100,19 +100,32 @@ def prepare_columns(
     )
 
 
-def inspect(df: DataFrame) -> DataFrame:
-    """One row per column: its place, name, type, and the table's row count."""
+def inspect(df: DataFrame, order: Sequence[str] = (), n: int = 5) -> DataFrame:
+    """One row per column: its place, name, type, and the table's row count.
+
+    With ``order``, ``sample`` has the column's values, as text, in the first ``n`` rows of that
+    order: a top-n per task and a merge, so no more than ``n`` rows leave a task.
+    """
+    sample = [F.lit(None).cast("array<string>")] * len(df.columns)
+    if order:
+        first = df.orderBy(*order).limit(n).collect()
+        cells = [[None if row[c] is None else row[c] for row in first] for c in df.columns]
+        kinds = [field.dataType for field in df.schema.fields]
+        sample = [
+            F.array(*[F.lit(v).cast(kind) for v in values]).cast("array<string>")
+            for values, kind in zip(cells, kinds)
+        ]
     described = F.array(
         *[
             F.struct(
-                F.lit(i).alias("ordinal"), F.lit(c).alias("column"), F.lit(t).alias("dtype")
+                F.lit(i).alias("ordinal"), F.lit(c).alias("column"), F.lit(t).alias("dtype"),
+                values.alias("sample"),
             )
-            for i, (c, t) in enumerate(df.dtypes, 1)
+            for i, ((c, t), values) in enumerate(zip(df.dtypes, sample), 1)
         ]
     )
-    return df.agg(F.count("*").alias("row_count")).select(
-        F.inline(described), F.col("row_count")
-    )
+    found = df.agg(F.count("*").alias("row_count")).select(F.inline(described), F.col("row_count"))
+    return found if order else found.drop("sample")
 
 
 def completeness_score(columns: Sequence[str]) -> Column:

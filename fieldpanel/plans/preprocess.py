@@ -8,7 +8,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fieldpanel.functions.columns import one_row
-from fieldpanel.operators import clean, features, integrate, keys, shape
+from fieldpanel.operators import clean, correlate, features, integrate, keys, shape
+from fieldpanel.sources import sinks
 from fieldpanel.staging import stage
 
 # Panel columns and what is made of them.
@@ -132,3 +133,21 @@ def preprocess(
         id_columns=id_columns,
         score_columns=NUMBERS,
     )
+
+
+def correlation_ranking(processed: DataFrame, target: str = "Yield") -> DataFrame:
+    """The processed features by their correlation with the target, strongest first."""
+    features_of = [c for c in [*NUMBERS, *INDEXED.values()] if c != target]
+    return correlate.correlation_ranking(processed, target, features_of)
+
+
+def preprocess_and_export(
+    raw: Mapping[str, DataFrame], root: str, **options: object
+) -> dict[str, DataFrame]:
+    """The whole preprocessing job: {processed, ranking}, and the export as CSV.
+
+    The processed panel is written once; the export, the ranking and the caller read that.
+    """
+    processed = stage(preprocess(raw, **options), "processed")
+    sinks.write_csv(processed, f"{root.rstrip('/')}/processed/processed_data.csv")
+    return {"processed": processed, "ranking": correlation_ranking(processed)}

@@ -154,5 +154,5 @@ def flexible_export(df: DataFrame, root: str, order: Sequence[str], source: str)
     sinks.write_parquet(prepared, f"{root}/processed/prepared_data.parquet")
     sinks.write_sample(prepared, f"{root}/results/data_sample.csv", order)
     report = profile.column_profile(prepared)
-    sinks.write_profile(report, f"{root}/results/data_report.json", source)
+    sinks.write_profile(report, f"{root}/results/data_report.json", source, prepared.count())
     return prepared

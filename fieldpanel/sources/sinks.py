@@ -60,10 +60,19 @@ def write_metrics(metrics: DataFrame, path: str, format: str = "csv") -> None:
     save(metrics.coalesce(1), path, format)
 
 
-def write_profile(profile: DataFrame, path: str, source: str, format: str = "json") -> None:
-    """A column profile with the date and source it was taken from."""
+def write_profile(
+    profile: DataFrame, path: str, source: str, total_rows: int, format: str = "json"
+) -> None:
+    """A column profile with the date, the source, and the source's rows and columns.
+
+    The profile has a row per column of the source.
+    """
     stamped = profile.select(
-        F.current_date().alias("report_date"), F.lit(source).alias("source"), "*"
+        F.current_date().alias("report_date"),
+        F.lit(source).alias("source"),
+        F.lit(total_rows).cast("bigint").alias("total_rows"),
+        F.lit(profile.count()).cast("bigint").alias("total_columns"),
+        "*",
     )
     stamped.coalesce(1).write.mode("overwrite").format(format).save(path)
 

@@ -98,9 +98,10 @@ def test_metrics_need_a_model_column(spark, tmp_path):
 
 def test_profile_sink_stamps_date_and_source(spark, tmp_path):
     profile = spark.createDataFrame([("a", "int", 3, 0)], "column string, dtype string, d int, m int")
-    sinks.write_profile(profile, str(tmp_path / "r"), "yield_df")
+    sinks.write_profile(profile, str(tmp_path / "r"), "yield_df", total_rows=12)
     row = spark.read.json(str(tmp_path / "r")).first()
     assert row["source"] == "yield_df" and row["report_date"]
+    assert (row["total_rows"], row["total_columns"]) == (12, 1)
 
 
 def test_read_table_other_formats(spark, tmp_path):
