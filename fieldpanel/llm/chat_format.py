@@ -91,21 +91,52 @@ def _tokens(part: Column) -> Column:
 
 
 def visit(parts: Column) -> Column:
-    """Flatten content parts: struct(kind, rendered, uri, tokens) each, in order."""
+    """Flatten content parts: struct(kind, raw, uri, tokens) each, in order.
+
+    ``raw`` is the text as it is, or the attachment's placeholder.
+    """
 
     def one(part: Column) -> Column:
         kind = _kind(part)
-        rendered = F.when(kind == "text", escape(_empty(part["text"])))
+        raw = F.when(kind == "text", _empty(part["text"]))
         for name, placeholder in PLACEHOLDERS.items():
-            rendered = rendered.when(kind == name, placeholder)
+            raw = raw.when(kind == name, placeholder)
         return F.struct(
-            kind.alias("kind"), rendered.alias("rendered"), part["uri"].alias("uri"),
+            kind.alias("kind"), raw.alias("raw"), part["uri"].alias("uri"),
             _tokens(part).alias("tokens"),
         )
 
     return F.transform(F.coalesce(parts, F.array().cast(PART_TYPE)), one)
 
 
+def body_of(parts: Column) -> Column:
+    """Visited parts as one string. Adjacent texts are joined before they are escaped, so that
+    no control string can be put together from pieces."""
+    run = "struct<plain:boolean,raw:string>"
+
+    def add(runs: Column, part: Column) -> Column:
+        plain, last = part["kind"] == "text", F.try_element_at(runs, F.lit(-1))
+        longer = F.struct(
+            F.lit(True).alias("plain"), F.concat(last["raw"], part["raw"]).alias("raw")
+        ).cast(run)
+        new = F.struct(plain.alias("plain"), part["raw"].alias("raw")).cast(run)
+        grown = F.concat(F.slice(runs, 1, F.greatest(F.size(runs) - 1, F.lit(0))), F.array(longer))
+        return F.when(plain & F.coalesce(last["plain"], F.lit(False)), grown).otherwise(
+            F.concat(runs, F.array(new))
+        )
+
+    runs = F.aggregate(parts, F.array().cast(f"array<{run}>"), add)
+    written = F.transform(runs, lambda r: F.when(r["plain"], escape(r["raw"])).otherwise(r["raw"]))
+    return F.when(F.size(parts) > 1, F.array_join(written, "")).otherwise(
+        F.array_join(
+            F.transform(
+                parts, lambda p: F.when(p["kind"] == "text", escape(p["raw"])).otherwise(p["raw"])
+            ),
+            "",
+        )
+    )
+
+
 def text_part(text: Column) -> Column:
     """Content of one text part."""
     empty = {"uri": "string", "width": "int", "height": "int", "seconds": "double", "pages": "int"}
@@ -139,7 +170,7 @@ def format_conversations(
         visit(content).alias("parts"),
     )
     head = F.concat(F.lit(START), escape(F.col("role")), F.lit(SEPARATOR))
-    body = F.array_join(F.transform("parts", lambda p: p["rendered"]), "")
+    body = body_of(F.col("parts"))
     rendered = seen.withColumns({"head": head, "body": body}).select(
         "conv_id", "turn", "role",
         F.concat("head", "body", F.lit(END)).alias("piece"),
