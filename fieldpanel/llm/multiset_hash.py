@@ -10,6 +10,8 @@ decide equality. The other lanes make fingerprints comparable: each clause of th
 adds a byte to one of ``LANES`` lanes of one of ``LEVELS`` levels, level l being chosen with
 probability 2**-(l+1). Two fingerprints then differ in few lanes of every level that the
 differing clauses rarely hit, from which ``likeness`` estimates the size of the difference.
+The deepest level sees one clause in 2**27, so no text a string can hold exceeds the estimate;
+occupied lanes alone are stored, so short texts do not pay for the depth.
 
 Defined results: null text counts as empty; empty texts have the fingerprint of the empty
 multiset and likeness 1 among each other; white space around paragraphs and clauses does
@@ -24,7 +26,7 @@ from fieldpanel.llm.common import let
 
 DENSE = 16
 LANES = 32
-LEVELS = 10
+LEVELS = 28
 _BYTE = 256
 _MASK = 0xFFFFFFFF
 
@@ -47,10 +49,11 @@ def _zero() -> Column:
 def _code(clause: Column) -> Column:
     """Lane and value of a clause as one number: lane * 256 + value."""
     h = F.xxhash64(clause)
-    bits = F.shiftrightunsigned(h, 20).bitwiseAND(F.lit((1 << (LEVELS - 1)) - 1))
+    # value, lane and level come from different bits: 0 to 7, 8 to 12 and 32 to 58
+    bits = F.shiftrightunsigned(h, 32).bitwiseAND(F.lit((1 << (LEVELS - 1)) - 1))
     bits = bits.bitwiseOR(F.lit(1 << (LEVELS - 1)))
     level = F.bit_count(bits.bitwiseAND(-bits) - 1)
-    lane = level * LANES + F.pmod(F.shiftrightunsigned(h, 32), F.lit(LANES))
+    lane = level * LANES + F.pmod(F.shiftrightunsigned(h, 8), F.lit(LANES))
     value = h.bitwiseAND(F.lit(_BYTE - 1))
     return (lane * _BYTE + F.when(value == 0, F.lit(1)).otherwise(value)).cast("bigint")
 
