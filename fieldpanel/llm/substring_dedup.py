@@ -18,8 +18,9 @@ Chunks are written once, bucketed, so texts are never shuffled. A later whole co
 text is settled by its digest alone.
 
 Defined results: null text is empty; texts shorter than ``LENGTH`` bytes lose nothing; rows
-of equal identifier are different documents in a fixed order; null identifiers come last;
-an empty table gives no rows; extra columns are not read. One text has to fit in a task.
+of equal identifier are different documents in the order of the input's partitions and rows;
+null identifiers come last, as if they were the largest long; an empty table gives no rows;
+extra columns are not read. One text has to fit in a task, at some 40 bytes of memory a byte.
 """
 
 from __future__ import annotations
@@ -28,9 +29,11 @@ import hashlib
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from fieldpanel.llm.common import shuffle_width, stage, staging_path, text_of
@@ -194,9 +197,11 @@ def _chunked(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         ids: list = []
         texts: list = []
         size = 0
+        # partitions and what they hold are numbered, so a retried task makes the same chunks
+        names = count(TaskContext.get().partitionId() << 40)
 
         def made() -> pa.RecordBatch:
-            row = {"chunk": [uuid.uuid4().int >> 66], "ids": [ids], "texts": [texts]}
+            row = {"chunk": [next(names)], "ids": [ids], "texts": [texts]}
             return pa.RecordBatch.from_pydict(row, kinds)
 
         for batch in batches:
@@ -343,4 +348,6 @@ def remove_repeats(
                     out["kept"].append(kept)
             yield pa.RecordBatch.from_pydict(out, pa.schema(fields))
 
-    return known.mapInArrow(run, schema)
+    found = stage(known.mapInArrow(run, schema), "substring_dedup")
+    spark.sql(f"DROP TABLE {name}")  # the catalogue's entry; its files go with the staged ones
+    return found
