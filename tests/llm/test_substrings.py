@@ -51,3 +51,13 @@ def test_equals_brute_force(spark, monkeypatch, chunk):
 def test_empty_table(spark):
     frame = spark.createDataFrame([], "doc_id bigint, text string")
     assert sub.remove_repeats(frame).collect() == []
+
+
+def test_rows_of_one_identifier_have_a_fixed_order(spark):
+    base = "".join(f"{i:04d}" for i in range(90))
+    docs = [(5, base[i * 20 :] + str(i) * (i + 1)) for i in range(8)] + [(None, base), (None, base)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    before = {t.name for t in spark.catalog.listTables()}
+    runs = [sorted(map(str, sub.remove_repeats(frame).collect())) for _ in range(3)]
+    assert runs[0] == runs[1] == runs[2]
+    assert {t.name for t in spark.catalog.listTables()} == before
