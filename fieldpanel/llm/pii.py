@@ -1,17 +1,21 @@
 """Personal data: fixed patterns, and information-theoretic sanitisation of their context.
 
 Base spans (email, ip, card, phone) come from patterns. Their values are the protected
-entities. Around every mention, the terms of a window are counted against the whole
-corpus: with n(c, t) occurrences of term t in windows of entity c, n(c) terms in windows of
-c, n(t) occurrences of t and N terms in the corpus, t discloses
+entities. Around every mention, the terms that a window reaches are counted against the whole
+corpus: with n(c, t) occurrences of term t in windows of entity c, n(c) of all terms there,
+n(t) occurrences of t and N terms in the corpus, t discloses
 
     PMI(c; t) / IC(c) = log2(n(c,t) N / (n(c) n(t))) / log2(N / n(c))
 
-of c: 1 if t occurs nowhere else, 0 if it is independent. A term that stands at least
-``support`` times with the entity and discloses at least ``threshold`` becomes a span of kind
-``term`` wherever it stands in a window of that entity; it is generalised, and removed from
+of c: 1 if t occurs nowhere else, 0 if it is independent. Where the log-likelihood ratio says
+that chance does not explain how often they meet (at least ``significance``, 10.83 being one
+case in a thousand) and t discloses at least ``threshold``, t becomes a span of kind ``term``
+wherever it stands in a document that mentions c; it is generalised, and removed from
 ``remove`` on. Base spans always stay. Emails, addresses, cards and phones are removed.
 
+Mentions and terms of a document meet in cells of the window's width, so the work grows with
+the number of both and not with their product, nor with the length of the text.
+
 Patterns start only where a run of their first characters starts (or at the last match's
 end), and never backtrack over a run, so long texts without a match take linear time.
 
@@ -42,12 +46,16 @@ IP_PARTS = rf"^{_BYTE}(?:\.{_BYTE}){{3}}$"
 
 WINDOW = 80  # characters on either side of a mention
 TERM = r"[\p{L}\p{N}]{3,}"
-SUPPORT, THRESHOLD, REMOVE = 3, 0.9, 0.98
+SIGNIFICANCE, THRESHOLD, REMOVE = 10.83, 0.9, 0.98
 _CHUNK = 512
 
 
-def _running(lengths: Column) -> Column:
-    """Inclusive running sums of an array of numbers, in chunks so that long ones stay cheap."""
+def _running(lengths: Column, largest: bool = False) -> Column:
+    """Inclusive running sums, or maxima, of an array of numbers that are not negative, in
+    chunks so that long ones stay cheap."""
+
+    def merged(one: Column, two: Column) -> Column:
+        return F.greatest(one, two) if largest else one + two
 
     def along(values: Column) -> Column:
         start = F.struct(
@@ -55,7 +63,7 @@ def _running(lengths: Column) -> Column:
         )
 
         def add(acc: Column, x: Column) -> Column:
-            at = acc["at"] + x
+            at = merged(acc["at"], x)
             return F.struct(at.alias("at"), F.concat(acc["sums"], F.array(at)).alias("sums"))
 
         return F.aggregate(values, start, add, lambda acc: acc["sums"])
@@ -66,7 +74,7 @@ def _running(lengths: Column) -> Column:
         return F.flatten(
             F.zip_with(
                 chunks, F.slice(starts, 1, F.size(chunks)),
-                lambda c, before: F.transform(c, lambda x: x + before),
+                lambda c, before: F.transform(c, lambda x: merged(x, before)),
             )
         )
 
@@ -134,57 +142,61 @@ def base_spans(text: Column) -> Column:
     return F.concat(*[of(kind) for kind in KINDS[:4]])
 
 
-def _contexts(text: Column, spans: Column, window: int) -> Column:
-    """Per base span its entity and the terms around it, with places in the text."""
-
-    def terms(piece: Column, offset: Column) -> Column:
-        return F.transform(
-            located(piece, TERM),
-            lambda t: F.struct(
-                F.lower(t["value"]).alias("term"), (t["start"] + offset).alias("start"),
-                (t["end"] + offset).alias("end"),
-            ),
-        )
+def _cells(first: Column, last: Column, window: int) -> Column:
+    """The cells that code points ``first`` to ``last`` lie in."""
+    return F.sequence(F.floor(first / window), F.floor(last / window))
 
-    def around(span: Column) -> Column:
-        left = F.greatest(span["start"] - window, F.lit(0))
-        before = F.substring(text, (left + 1).cast("int"), (span["start"] - left).cast("int"))
-        after = F.substring(text, (span["end"] + 1).cast("int"), F.lit(window))
-        entity = F.regexp_replace(F.lower(span["value"]), r"[^\p{L}\p{N}]", "")
-        return F.struct(
-            F.concat_ws(":", span["kind"], entity).alias("entity"),
-            F.concat(terms(before, left), terms(after, span["end"])).alias("terms"),
-        )
 
-    def clear(term: Column) -> Column:
-        return ~F.exists(
-            spans, lambda s: (term["start"] < s["end"]) & (s["start"] < term["end"])
-        )
+def _near(terms: DataFrame, mentions: DataFrame, window: int) -> DataFrame:
+    """(row, start, end, term, entity, over) of terms that a mention's window reaches.
 
-    found = F.transform(spans, around)
-    return F.transform(
-        found,
-        lambda c: F.struct(c["entity"].alias("entity"), F.filter(c["terms"], clear).alias("terms")),
+    ``terms`` is (row, start, end, term), ``mentions`` (row, first, last, entity) with the last
+    exclusive. ``over`` says whether the term and the mention overlap.
+    """
+    left = terms.withColumn(
+        "cell", F.explode(_cells(F.col("start"), F.col("end") - 1, window))
+    )
+    low = F.greatest(F.col("first") - window, F.lit(0).cast("bigint"))
+    right = mentions.withColumn("cell", F.explode(_cells(low, F.col("last") + window - 1, window)))
+    reached = (F.col("start") < F.col("last") + window) & (F.col("end") > F.col("first") - window)
+    over = (F.col("start") < F.col("last")) & (F.col("first") < F.col("end"))
+    return left.join(right, ["row", "cell"]).where(reached).select(
+        "row", "start", "end", "term", "entity", over.alias("over")
     )
 
 
-def disclosing(mentions: DataFrame, corpus_terms: DataFrame, support: int, threshold: float):
+def disclosing(
+    pairs: DataFrame, corpus_terms: DataFrame, significance: float, threshold: float
+) -> DataFrame:
     """(entity, term, disclosure) of the terms that give an entity away.
 
-    ``mentions`` has a row per term in a window (entity, term), ``corpus_terms`` one per term
-    (term, n_term).
+    ``pairs`` has a row per term occurrence in a window (entity, term), ``corpus_terms`` one per
+    term (term, n_term).
     """
     together = stage(
-        mentions.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")), "together"
+        pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")), "together"
     )
     entities = together.groupBy("entity").agg(F.sum("n_both").alias("n_entity"))
     total = float(corpus_terms.agg(F.sum("n_term")).first()[0] or 1)
-    told = F.log2(F.col("n_both") * total / (F.col("n_entity") * F.col("n_term")))
-    needed = F.log2(F.lit(total) / F.col("n_entity"))
+    both, entity, term = F.col("n_both"), F.col("n_entity"), F.col("n_term")
+    expected = entity * term / F.lit(total)
+
+    def part(seen: Column, chance: Column) -> Column:
+        return F.when((seen > 0) & (chance > 0), seen * F.log(seen / chance)).otherwise(0.0)
+
+    # of the table of occurrences with and without the entity, of the term and of all others
+    ratio = 2 * (
+        part(both, expected)
+        + part(entity - both, entity - expected)
+        + part(term - both, term - expected)
+        + part(total - entity - term + both, total - entity - term + expected)
+    )
+    told = F.log2(both * total / (entity * term))
+    needed = F.log2(F.lit(total) / entity)
     return (
-        together.where(F.col("n_both") >= support)
-        .join(entities, "entity")
+        together.join(entities, "entity")
         .join(corpus_terms, "term")
+        .where((both > expected) & (ratio >= significance))
         .withColumn("disclosure", F.when(needed > 0, told / needed).otherwise(0.0))
         .where(F.col("disclosure") >= threshold)
         .select("entity", "term", "disclosure")
@@ -197,7 +209,7 @@ def find(
     doc_id: str = "doc_id",
     text: str = "text",
     window: int = WINDOW,
-    support: int = SUPPORT,
+    significance: float = SIGNIFICANCE,
     threshold: float = THRESHOLD,
     remove: float = REMOVE,
     keep_text: bool = False,
@@ -211,32 +223,52 @@ def find(
     seen = docs.select(
         F.col(doc_id).alias("doc_id"), body.alias("_text"), base_spans(body).alias("_spans")
     )
+    nothing = F.array().cast("array<struct<start:bigint,end:bigint,value:string>>")
     rows = stage(
         seen.select(
-            F.monotonically_increasing_id().alias("_row"),
+            F.monotonically_increasing_id().alias("row"),
             "doc_id",
             "_spans",
-            _contexts(F.col("_text"), F.col("_spans"), window).alias("_contexts"),
+            # the terms of texts that mention an entity; no other text can have a span
+            F.when(F.size("_spans") > 0, located(F.col("_text"), TERM)).otherwise(nothing)
+            .alias("_terms"),
             *[F.col("_text").alias("text") for _ in kept],
         ),
         "base_spans",
     )
-    words = docs.select(
-        F.explode(F.regexp_extract_all(F.lower(body), F.lit(TERM), F.lit(0))).alias("term")
+    terms = stage(
+        rows.select("row", F.explode("_terms").alias("t")).select(
+            "row", "t.start", "t.end", F.lower("t.value").alias("term")
+        ),
+        "doc_terms",
     )
-    corpus = stage(words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")), "terms")
+    plain = F.regexp_replace(F.lower(F.col("s.value")), r"[^\p{L}\p{N}]", "")
     mentions = stage(
-        rows.select("_row", F.explode("_contexts").alias("c"))
-        .select("_row", "c.entity", F.explode("c.terms").alias("t"))
-        .select("_row", "entity", "t.*"),
+        rows.select("row", F.explode("_spans").alias("s")).select(
+            "row", F.col("s.start").alias("first"), F.col("s.end").alias("last"),
+            F.concat_ws(":", "s.kind", plain).alias("entity"),
+        ),
         "mentions",
     )
-    told = stage(disclosing(mentions, corpus, support, threshold), "disclosing")
+    near = stage(_near(terms, mentions, window), "near")
+    over = stage(near.where("over").select("row", "start").distinct(), "over")
+    # each occurrence counts once for an entity, however often that is mentioned around it
+    pairs = near.join(over, ["row", "start"], "left_anti").select(
+        "row", "start", "term", "entity"
+    ).distinct()
+    words = docs.select(
+        F.explode(F.regexp_extract_all(F.lower(body), F.lit(TERM), F.lit(0))).alias("term")
+    )
+    corpus = stage(words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")), "terms")
+    told = stage(disclosing(pairs, corpus, significance, threshold), "disclosing")
+    mentioned = mentions.select("row", "entity").distinct()
     added = (
-        mentions.join(told, ["entity", "term"])
-        .groupBy("_row", "start", "end")
+        terms.join(told, "term")
+        .join(mentioned, ["row", "entity"], "left_semi")
+        .join(over, ["row", "start"], "left_anti")
+        .groupBy("row", "start", "end")
         .agg(F.max("disclosure").alias("d"))
-        .groupBy("_row")
+        .groupBy("row")
         .agg(
             F.sort_array(
                 F.collect_list(
@@ -254,42 +286,72 @@ def find(
         lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"),
                            s["end"].alias("end"), F.lit("remove").alias("action")),
     )
-    terms = F.transform(
+    found = F.transform(
         F.coalesce("_added", F.array().cast("array<struct<start:bigint,end:bigint,action:string>>")),
         lambda s: F.struct(F.lit("term").alias("kind"), s["start"].alias("start"),
                            s["end"].alias("end"), s["action"].alias("action")),
     )
-    return rows.join(added, "_row", "left").select(
-        "doc_id", base.alias("base"), F.concat(base, terms).alias("spans"),
+    return rows.drop("_terms").join(added, "row", "left").select(
+        "doc_id", base.alias("base"), F.concat(base, found).alias("spans"),
         *["text" for _ in kept],
     )
 
 
+def _cut(pieces: Column, start: Column, end: Column) -> Column:
+    """Code points from ``start`` to ``end`` of a text in pieces of ``_CHUNK`` code points."""
+    first, last = F.floor(start / _CHUNK), F.floor((end - 1) / _CHUNK)
+    some = F.slice(pieces, (first + 1).cast("int"), (last - first + 1).cast("int"))
+    found = F.substring(
+        F.array_join(some, ""), (start - first * _CHUNK + 1).cast("int"),
+        (end - start).cast("int"),
+    )
+    return F.when(end > start, found).otherwise("")
+
+
+def generalised(value: Column) -> Column:
+    """What a term looks like: numbers keep their leading half, words whether they are names."""
+    half = F.floor(F.length(value) / 2).cast("int")
+    number = F.rpad(F.substring(value, F.lit(1), F.length(value) - half), F.length(value), F.lit("x"))
+    return F.when(value.rlike("^[0-9]+$"), number).when(
+        value.rlike(r"^\p{Lu}"), "[name]"
+    ).otherwise("[word]")
+
+
 def redact(text: Column, spans: Column) -> Column:
-    """The text with spans replaced by their kind, terms also by what they look like."""
+    """The text with base spans replaced by their kind, and terms generalised or removed.
+
+    Spans that begin inside an earlier one are replaced with it. Every piece of the text is
+    cut out once, so long texts with many spans take linear time.
+    """
+
+    def written(parts: Column) -> Column:
+        pieces, ordered, reached = parts["pieces"], parts["ordered"], parts["reached"]
+
+        def piece(s: Column, i: Column) -> Column:
+            at = F.when(i == 0, F.lit(0).cast("bigint")).otherwise(F.get(reached, i - 1))
+            mark = F.when(s["kind"] != "term", F.concat(F.lit("["), s["kind"], F.lit("]")))
+            mark = mark.when(
+                s["action"] == "generalise", generalised(_cut(pieces, s["start"], s["end"]))
+            ).otherwise("")
+            inside = s["start"] < at
+            return F.concat(
+                _cut(pieces, at, F.greatest(s["start"], at)), F.when(inside, "").otherwise(mark)
+            )
+
+        end = F.coalesce(F.try_element_at(reached, F.lit(-1)), F.lit(0).cast("bigint"))
+        rest = _cut(pieces, end, F.greatest(F.length(text).cast("bigint"), end))
+        return F.concat(F.array_join(F.transform(ordered, piece), ""), rest)
+
     ordered = F.sort_array(
         F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
                                               s["kind"].alias("kind"), s["action"].alias("action")))
     )
-    start = F.struct(F.lit("").alias("done"), F.lit(0).cast("bigint").alias("at"))
-
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(
-            text, (acc["at"] + 1).cast("int"),
-            F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int"),
-        )
-        value = F.substring(text, (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int"))
-        general = F.when(value.rlike("^[0-9]+$"), "[number]").otherwise("[word]")
-        mark = F.when(s["kind"] != "term", F.concat(F.lit("["), s["kind"], F.lit("]")))
-        mark = mark.when(s["action"] == "generalise", general).otherwise("")
-        inside = s["start"] < acc["at"]  # overlaps the span before: already replaced
-        return F.struct(
-            F.concat(acc["done"], gap, F.when(inside, "").otherwise(mark)).alias("done"),
-            F.greatest(s["end"], acc["at"]).alias("at"),
-        )
-
-    return F.aggregate(
-        ordered, start, step,
-        lambda acc: F.concat(acc["done"], F.substring(text, (acc["at"] + 1).cast("int"),
-                                                      F.length(text))),
+    # how far the spans up to each one reach
+    ends = F.transform(ordered, lambda s: s["end"])
+    return let(
+        F.struct(
+            F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_CHUNK}}}"), F.lit(0)).alias("pieces"),
+            ordered.alias("ordered"), _running(ends, largest=True).alias("reached"),
+        ),
+        written,
     )
