@@ -90,27 +90,100 @@ def test_disclosure_against_brute_force(spark):
         if i % 3 == 0:
             words[6:6] = ["zebra", "a@b.co", draw.choice(common)]
         texts.append(" ".join(words))
+    texts.append("zebra far away from it: " + "alpha " * 30 + "write to a@b.co, please")
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    corpus = Counter(w for t in texts for w in re.findall(r"\w{3,}", t.lower()))
-    total, both = sum(corpus.values()), Counter()
-    for text in texts:
-        for m in re.finditer(PLAIN["email"], text):
-            near = text[max(0, m.start() - 80) : m.start()], text[m.end() : m.end() + 80]
-            both.update(w for part in near for w in re.findall(r"\w{3,}", part))
-    n_entity = sum(both.values())
-    want = {
-        t for t, n in both.items()
-        if n >= 3 and math.log2(n * total / (n_entity * corpus[t])) / math.log2(total / n_entity) >= 0.9
-    }
     got = {
-        texts[r.doc_id][s.start : s.end]
+        (r.doc_id, s.start, s.end)
         for r in pii.find(docs).collect() for s in r.spans if s.kind == "term"
     }
-    assert got == want == {"zebra"}
+    assert got == brute_terms(texts)
+    # wherever the word stands in a text that mentions the address, and nowhere else
+    assert {texts[i][a:b] for i, a, b in got} == {"zebra"} and len(got) == 21
     clean = pii.find(docs, keep_text=True).select("text", pii.redact(F.col("text"), F.col("spans")))
     assert not any("zebra" in r[1] or "@" in r[1] for r in clean.collect())
 
 
+def brute_terms(texts, window=80):
+    """Term spans of texts whose only base spans are emails."""
+    corpus = Counter(w for t in texts for w in re.findall(r"\w{3,}", t.lower()))
+    total, both, mentioned = sum(corpus.values()), Counter(), {}
+    for i, text in enumerate(texts):
+        spans = [(m.start(), m.end(), m[0].lower()) for m in re.finditer(PLAIN["email"], text)]
+        mentioned[i] = {re.sub(r"\W", "", e) for _, _, e in spans}
+        for t in re.finditer(r"\w{3,}", text):
+            if any(t.start() < b and a < t.end() for a, b, _ in spans):
+                continue
+            for e in {re.sub(r"\W", "", e) for a, b, e in spans
+                      if t.start() < b + window and t.end() > a - window}:
+                both[e, t[0].lower()] += 1
+    size = Counter()
+    for (e, _), n in both.items():
+        size[e] += n
+    told = set()
+    for (e, t), n in both.items():
+        table = [(n, size[e] * corpus[t] / total)]
+        table.append((size[e] - n, size[e] - table[0][1]))
+        table.append((corpus[t] - n, corpus[t] - table[0][1]))
+        table.append((total - size[e] - corpus[t] + n, total - size[e] - corpus[t] + table[0][1]))
+        ratio = 2 * sum(o * math.log(o / x) for o, x in table if o > 0 and x > 0)
+        share = math.log2(n * total / (size[e] * corpus[t])) / math.log2(total / size[e])
+        if n > table[0][1] and ratio >= 10.83 and share >= 0.9:
+            told.add((e, t))
+    found = set()
+    for i, text in enumerate(texts):
+        spans = [m.span() for m in re.finditer(PLAIN["email"], text)]
+        for t in re.finditer(r"\w{3,}", text):
+            if any((e, t[0].lower()) in told for e in mentioned[i]) and not any(
+                t.start() < b and a < t.end() for a, b in spans
+            ):
+                found.add((i, *t.span()))
+    return found
+
+
+def test_terms_against_brute_force_on_prose(spark):
+    draw = random.Random(12)
+    words = ["".join(draw.choice("abcdefgh") for _ in range(draw.randint(2, 7))) for _ in range(400)]
+    texts = []
+    for i in range(120):
+        text = [draw.choice(words) for _ in range(draw.randint(0, 80))]
+        for _ in range(draw.choice([0, 0, 1, 2])):
+            who = draw.randint(0, 9)
+            at = draw.randint(0, len(text))
+            text[at:at] = [f"Secret{who}", f"user{who}@mail.org", "x" * draw.choice([3, 200])]
+        texts.append(" ".join(text))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    got = {
+        (r.doc_id, s.start, s.end)
+        for r in pii.find(docs).collect() for s in r.spans if s.kind == "term"
+    }
+    assert got == brute_terms(texts) and len(got) > 50
+
+
+def test_a_text_of_very_many_mentions_ends(spark):
+    """Neither the search nor the redaction takes the product of text and mentions."""
+    many = " ".join(f"w{i} a{i}@b.co" for i in range(16_000))
+    docs = spark.createDataFrame([(1, many), (2, "plain")], "doc_id bigint, text string")
+    found = pii.find(docs, keep_text=True)
+    row = found.select(
+        "doc_id", F.size("base").alias("n"),
+        F.length(pii.redact(F.col("text"), F.col("base"))).alias("left"),
+    ).orderBy("doc_id").collect()[0]
+    assert row.n == 16_000
+    assert row.left == sum(len(f"w{i} [email] ") for i in range(16_000)) - 1
+
+
+def test_redaction_of_overlapping_and_generalised_spans(spark):
+    text = "Ünal born 1987 met Zoë ☃ at x@y.zz now"
+    spans = [("term", 0, 4, "generalise"), ("term", 10, 14, "generalise"), ("term", 19, 22, "remove"),
+             ("email", 28, 34, "remove"), ("ip", 30, 36, "remove")]
+    df = spark.createDataFrame(
+        [(text, spans), (text, []), ("", [])],
+        "text string, spans array<struct<kind:string,start:bigint,end:bigint,action:string>>",
+    )
+    got = [r[0] for r in df.select(pii.redact(F.col("text"), F.col("spans"))).collect()]
+    assert got == ["[name] born 19xx met  ☃ at [email]ow", text, ""]
+
+
 def test_odd_tables(spark):
     docs = spark.createDataFrame(
         [(1, "a@b.co", "x"), (1, "a@b.co", "x"), (None, None, "y")],
