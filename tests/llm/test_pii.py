@@ -52,7 +52,7 @@ def odd_texts() -> list[str | None]:
               "4644348398010899", "4111 1111-1111 1111", "+1 (706) 555-3138", "+49.", "é", "🙂",
               " ", "-", ".", "@", "\n", "12", "+", "%", "word", "1234567890123456789012"]
     made = ["".join(draw.choice(pieces) for _ in range(draw.randint(0, 14))) for _ in range(3000)]
-    return [None, "", "a" * 100_000, "1" * 100_000, "1 " * 60_000, "+1" * 50_000, "a.b@" * 30_000,
+    return [None, "", "a" * 100_000, "1" * 100_000, "1 " * 12_000, "+1" * 10_000, "a.b@" * 6_000,
             "a@b.c " * 3000, *made]
 
 

@@ -215,6 +215,37 @@ def test_coefficients_and_importances_follow_slot_names(onehot):
     assert shape.depth <= 10 and shape.nodes > 3
 
 
+@pytest.mark.parametrize("name", ["Decision Tree", "Gradient Boosting"])
+def test_splits_tell_the_whole_tree(onehot, name):
+    model = regression.fit_model(onehot, regression.onehot_models(TABLE.target)[name]())
+    nodes = regression.tree_splits({name: model}, onehot).collect()
+    rows = onehot.train.count()
+    trees = {n.tree for n in nodes}
+    assert len(trees) == (1 if name == "Decision Tree" else 50)
+    for tree in trees:
+        mine = {n.node: n for n in nodes if n.tree == tree}
+        leaves = [n for n in mine.values() if n.name is None]
+        assert mine[0].rows == rows == sum(n.rows for n in leaves)
+        assert len(leaves) == (len(mine) + 1) // 2
+        for n in mine.values():
+            if n.name is not None:
+                assert n.rows == mine[n.low].rows + mine[n.high].rows and n.gain > 0
+                assert (n.threshold is None) == n.name.startswith("AreaVec_") == (n["values"] is not None)
+                assert n.feature in {"Area", "a", "b"}
+    if name == "Decision Tree":
+        shape = regression.tree_shape({name: model}, onehot.train.sparkSession).first()
+        assert shape.nodes == len(nodes)
+        # following the nodes gives the prediction
+        names = regression.slot_names(onehot.train)
+        for row in regression.regressor(model).transform(onehot.train.limit(20)).collect():
+            at = mine[0]
+            while at.name is not None:
+                value = row.features[names.index(at.name)]
+                low = value <= at.threshold if at["values"] is None else value in at["values"]
+                at = mine[at.low if low else at.high]
+            assert at.prediction == pytest.approx(row.prediction)
+
+
 def test_saved_pipeline_scores_alike(data, onehot, tmp_path, rows):
     model = regression.fit_model(onehot, regression.onehot_models(TABLE.target)["Decision Tree"]())
     sinks.save_model(model, str(tmp_path / "m"))

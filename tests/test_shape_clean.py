@@ -154,3 +154,12 @@ def test_drop_nulls_keeps_nan(spark):
 def test_dedup(spark):
     df = spark.createDataFrame([(1, None), (1, None), (1, 2)], "a int, b int")
     assert clean.dedup_rows(df).count() == 2
+
+
+def test_inspection_shows_the_first_rows(spark):
+    df = spark.createDataFrame([(3, "c"), (1, None), (2, "b")], "n int, `odd name` string")
+    plain = shape.inspect(df)
+    assert plain.columns == ["ordinal", "column", "dtype", "row_count"]
+    found = {r["column"]: (r["sample"], r.row_count) for r in shape.inspect(df, ["n"], 2).collect()}
+    assert found == {"n": (["1", "2"], 3), "odd name": ([None, "b"], 3)}
+    assert shape.inspect(df.limit(0), ["n"]).collect()[0]["sample"] == []
