@@ -95,15 +95,20 @@ def coefficients_sql(penalty: tuple, scaled: bool, sweeps: int = 0) -> str:
     return f"""WITH {SIDED}, {_design(scaled)}, {_fitted(*penalty, sweeps)}"""
 
 
-def metrics_sql(name: str, penalty: tuple, scaled: bool, sweeps: int = 0) -> str:
-    """Held-out metrics of the model with this penalty."""
+def predictions_sql(penalty: tuple, scaled: bool, sweeps: int = 0) -> str:
+    """``predicted``: the label y and the prediction p of every held-out row."""
     return f"""{coefficients_sql(penalty, scaled, sweeps)},
 predicted AS (
   SELECT row_key, any_value(y) AS y,
          any_value(my) - any_value(offset_) + sum(x * coalesce(w, 0)) AS p
   FROM cells LEFT JOIN fitted USING (f) CROSS JOIN whole
   CROSS JOIN (SELECT sum(m * w) AS offset_ FROM fitted)
-  WHERE NOT in_train GROUP BY row_key)
+  WHERE NOT in_train GROUP BY row_key)"""
+
+
+def metrics_sql(name: str, penalty: tuple, scaled: bool, sweeps: int = 0) -> str:
+    """Held-out metrics of the model with this penalty."""
+    return f"""{predictions_sql(penalty, scaled, sweeps)}
 SELECT '{name}' AS model,
        round(1 - sum(power(y - p, 2)) / (var_pop(y) * count(*)), 4) + 0.0 AS r2,
        round(avg(abs(y - p)), 4) AS mae, round(sqrt(avg(power(y - p, 2))), 4) AS rmse

@@ -165,6 +165,50 @@ def averaged(spark, sf_dir):
     return star.averaged_panel(panel)
 
 
+LINEAR_QUERIES = ("model_linear", "model_ridge", "model_lasso", "model_elastic_net")
+_LINEAR_METRICS = " UNION ALL ".join(f"SELECT * FROM ({LINEAR_SQL[q]})" for q in LINEAR_QUERIES)
+
+
+@query(
+    "compare_linear",
+    f"""SELECT m.*, round(mae / label * 100, 4) AS mae_pct, round(rmse / label * 100, 4) AS rmse_pct,
+         CASE WHEN r2 > 0.9 THEN 'exceptional' WHEN r2 > 0.7 THEN 'excellent'
+              WHEN r2 > 0.5 THEN 'good' WHEN r2 > 0.3 THEN 'moderate' ELSE 'poor' END AS band,
+         CAST(row_number() OVER (ORDER BY r2 DESC, model) AS INTEGER) AS rank
+       FROM ({_LINEAR_METRICS}) m,
+            (WITH {star.MODEL_SQL} SELECT avg("Yield") AS label FROM model_panel)""",
+)
+def compare_linear(spark, sf_dir):
+    """The linear models fitted side by side, ranked and banded, with relative errors."""
+    data, train, test = splits(spark, sf_dir)
+    prepared = regression.prepare(train, test, partial(regression.onehot_features, TABLE), TABLE)
+    registry = regression.onehot_models(TABLE.target)
+    names = ["Linear Regression", "Ridge Regression", "Lasso Regression", "Elastic Net"]
+    metrics = regression.compare_models(prepared, {n: registry[n] for n in names}).drop("error")
+    ranked = evaluate.leaderboard(
+        evaluate.performance_band(rounded(metrics, 4, "r2", "mae", "rmse"))
+    )
+    mean = one_row(data, m=F.mean(F.col(f"`{TABLE.target}`")))["m"]
+    return rounded(evaluate.relative_errors(ranked, mean), 4, "mae_pct", "rmse_pct")
+
+
+@query(
+    "batch_score_linear",
+    f"""{linear_sql.predictions_sql(("0", "0.1", True, True), False)}
+    SELECT row_key, round(p, 4) AS prediction FROM predicted""",
+)
+def batch_score_linear(spark, sf_dir):
+    """Predictions for every held-out row by the ridge pipeline."""
+    _, train, test = splits(spark, sf_dir)
+    prepared = regression.prepare(train, test, partial(regression.onehot_features, TABLE), TABLE)
+    model = regression.fit_model(
+        prepared, regression.onehot_models(TABLE.target)["Ridge Regression"]()
+    )
+    requests = test.select("row_key", *TABLE.features)
+    scored = regression.batch_score(model, requests).select("row_key", "prediction")
+    return rounded(scored, 4, "prediction")
+
+
 @query("model_leaderboard")
 def model_leaderboard(spark, sf_dir):
     """The models over scaled features, ranked by R2."""
