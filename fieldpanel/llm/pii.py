@@ -29,6 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fieldpanel.llm.common import let, stage, text_of
+from fieldpanel.operators.joins import attach
 
 KINDS = ["email", "ip", "card", "phone", "term"]
 
@@ -47,6 +48,7 @@ IP_PARTS = rf"^{_BYTE}(?:\.{_BYTE}){{3}}$"
 WINDOW = 80  # characters on either side of a mention
 TERM = r"[\p{L}\p{N}]{3,}"
 SIGNIFICANCE, THRESHOLD, REMOVE = 10.83, 0.9, 0.98
+FEW = 64  # mentions of a text that its terms are compared with one by one
 _CHUNK = 512
 
 
@@ -236,12 +238,22 @@ def find(
         ),
         "base_spans",
     )
-    terms = stage(
-        rows.select("row", F.explode("_terms").alias("t")).select(
-            "row", "t.start", "t.end", F.lower("t.value").alias("term")
+    terms = rows.select("row", F.explode("_terms").alias("t")).select(
+        "row", "t.start", "t.end", F.lower("t.value").alias("term")
+    )
+    # Only terms near a mention are counted with it. Where mentions are few they are compared with
+    # every term in place, so that other terms need not travel; where they are many, most
+    # terms are near one anyway, and all of them go to the cells.
+    within = F.filter(
+        "_terms",
+        lambda t: F.exists(
+            "_spans",
+            lambda s: (t["start"] < s["end"] + window) & (t["end"] > s["start"] - window),
         ),
-        "doc_terms",
     )
+    candidates = rows.select(
+        "row", F.explode(F.when(F.size("_spans") <= FEW, within).otherwise(F.col("_terms"))).alias("t")
+    ).select("row", "t.start", "t.end", F.lower("t.value").alias("term"))
     plain = F.regexp_replace(F.lower(F.col("s.value")), r"[^\p{L}\p{N}]", "")
     mentions = stage(
         rows.select("row", F.explode("_spans").alias("s")).select(
@@ -250,7 +262,7 @@ def find(
         ),
         "mentions",
     )
-    near = stage(_near(terms, mentions, window), "near")
+    near = stage(_near(candidates, mentions, window), "near")
     over = stage(near.where("over").select("row", "start").distinct(), "over")
     # each occurrence counts once for an entity, however often that is mentioned around it
     pairs = near.join(over, ["row", "start"], "left_anti").select(
@@ -260,10 +272,11 @@ def find(
         F.explode(F.regexp_extract_all(F.lower(body), F.lit(TERM), F.lit(0))).alias("term")
     )
     corpus = stage(words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")), "terms")
-    told = stage(disclosing(pairs, corpus, significance, threshold), "disclosing")
+    told = disclosing(pairs, corpus, significance, threshold)
     mentioned = mentions.select("row", "entity").distinct()
     added = (
-        terms.join(told, "term")
+        # the disclosing terms are broadcast only if they measure small
+        attach(terms, told, ["term"])
         .join(mentioned, ["row", "entity"], "left_semi")
         .join(over, ["row", "start"], "left_anti")
         .groupBy("row", "start", "end")
