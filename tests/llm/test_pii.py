@@ -52,7 +52,7 @@ def odd_texts() -> list[str | None]:
               "4644348398010899", "4111 1111-1111 1111", "+1 (706) 555-3138", "+49.", "é", "🙂",
               " ", "-", ".", "@", "\n", "12", "+", "%", "word", "1234567890123456789012"]
     made = ["".join(draw.choice(pieces) for _ in range(draw.randint(0, 14))) for _ in range(3000)]
-    return [None, "", "a" * 100_000, "1" * 100_000, "1 " * 12_000, "+1" * 10_000, "a.b@" * 6_000,
+    return [None, "", "a" * 30_000, "1" * 30_000, "1 " * 12_000, "+1" * 10_000, "a.b@" * 6_000,
             "a@b.c " * 3000, *made]
 
 
@@ -140,7 +140,9 @@ def brute_terms(texts, window=80):
     return found
 
 
-def test_terms_against_brute_force_on_prose(spark):
+@pytest.mark.parametrize("few", [64, 0])
+def test_terms_against_brute_force_on_prose(spark, monkeypatch, few):
+    monkeypatch.setattr(pii, "FEW", few)
     draw = random.Random(12)
     words = ["".join(draw.choice("abcdefgh") for _ in range(draw.randint(2, 7))) for _ in range(400)]
     texts = []
