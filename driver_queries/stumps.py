@@ -118,7 +118,7 @@ best AS (
 def tree_stumps(spark, sf_dir):
     """Split, gain, rows and means of every node of the three stumps."""
     prepared, fitted = fitted_stumps(spark, sf_dir)
-    found = regression.tree_splits(fitted, prepared).withColumnRenamed("rows", "row_count")
+    found = regression.tree_splits(fitted, prepared, BINNED).withColumnRenamed("rows", "row_count")
     low = F.array_join(F.col("values").cast("array<string>"), ", ")
     found = found.select(
         "model", "node", "name", "threshold", low.alias("low_values"), "gain", "row_count",

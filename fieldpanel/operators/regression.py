@@ -453,7 +453,9 @@ def tree_shape(models: Mapping[str, PipelineModel], spark) -> DataFrame:
     return spark.createDataFrame(rows, "model string, depth int, nodes int")
 
 
-def tree_splits(models: Mapping[str, PipelineModel], prepared: Prepared) -> DataFrame:
+def tree_splits(
+    models: Mapping[str, PipelineModel], prepared: Prepared, table: ModelTable = ModelTable()
+) -> DataFrame:
     """(model, tree, node, name, feature, threshold, values, gain, rows, prediction, low, high).
 
     One row per node; leaves have no name and no children. ``rows`` are the training rows of the
@@ -462,7 +464,6 @@ def tree_splits(models: Mapping[str, PipelineModel], prepared: Prepared) -> Data
     they are saved, so a large forest stays a table.
     """
     spark = prepared.train.sparkSession
-    table = ModelTable()
     names = slot_names(prepared.train)
     slots = F.broadcast(  # as wide as the feature vector
         spark.createDataFrame(

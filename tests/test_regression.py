@@ -218,7 +218,7 @@ def test_coefficients_and_importances_follow_slot_names(onehot):
 @pytest.mark.parametrize("name", ["Decision Tree", "Gradient Boosting"])
 def test_splits_tell_the_whole_tree(onehot, name):
     model = regression.fit_model(onehot, regression.onehot_models(TABLE.target)[name]())
-    nodes = regression.tree_splits({name: model}, onehot).collect()
+    nodes = regression.tree_splits({name: model}, onehot, TABLE).collect()
     rows = onehot.train.count()
     trees = {n.tree for n in nodes}
     assert len(trees) == (1 if name == "Decision Tree" else 50)
