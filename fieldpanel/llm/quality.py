@@ -20,6 +20,7 @@ columns pass through ``score`` unchanged.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
@@ -33,6 +34,7 @@ FEATURES = [
     "log_words", "word_length", "distinct_words", "distinct_lines", "upper", "symbols",
     "digits", "repeats",
 ]
+UNIT = 2.0**-32  # chances are summed in whole units: sums do not depend on their order
 _EDGE = 1e-4  # rates are kept this far from 0 and 1
 
 
@@ -95,7 +97,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, fit_rows: in
     model = LogisticRegression(regParam=1e-4, maxIter=100).fit(
         rows.select("label", array_to_vector("x").alias("features"))
     )
-    return [float(model.intercept), *[float(w) for w in model.coefficients.toArray()]]
+    # the fit's sums have no fixed order: what differs in the last digits is cut off
+    return [round(float(w), 6) for w in (model.intercept, *model.coefficients.toArray())]
 
 
 def _logit(p: Column) -> Column:
@@ -114,7 +117,7 @@ def _between(sites: DataFrame, parent: Column) -> float:
     rate = F.col("good") / F.col("n")
     noise = parent * (1 - parent) / F.col("n")
     row = sites.agg(F.avg(F.pow(rate - parent, 2) - noise)).first()
-    return row[0] or 0.0
+    return round(row[0] or 0.0, 12)
 
 
 def score(
@@ -127,28 +130,43 @@ def score(
     path: str = "lang",
     fit_rows: int = FIT_ROWS,
     keep_above: float = KEEP_ABOVE,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """``docs`` with struct column ``quality``: classifier, host, path, posterior, kept."""
+    """``docs`` with struct column ``quality``: classifier, host, path, posterior, kept.
+
+    ``columns`` are the columns of ``docs`` to return, by default all.
+    """
     weights = fit(docs, labels, doc_id, text, fit_rows)
-    own = fresh(docs.columns, "_own", "_path", "_host", "quality")
+    kept = docs.columns if columns is None else list(columns)
+    own = fresh(docs.columns, "_own", "_path", "_host", "quality", "_of_host", "_of_path")
 
     def evidence(x: Column) -> Column:
         terms = [F.lit(w) * F.element_at(x, i + 1) for i, w in enumerate(weights[1:])]
         return sum(terms, F.lit(weights[0]))
 
     odds = let(features(text_of(text)), evidence)
-    chance = 1 / (1 + F.exp(-odds))
+    judged = stage(
+        docs.select(
+            *[F.col(f"`{c}`") for c in kept], odds.alias(own[0]),
+            F.col(host).alias(own[4]), F.col(path).alias(own[5]),
+        ),
+        "judged",
+    )
+    chance = 1 / (1 + F.exp(-F.col(own[0])))
+    units = F.round(chance / UNIT).cast("decimal(20,0)")
     paths = stage(
-        docs.select(F.col(host).alias("host"), F.col(path).alias("path"), chance.alias("p"))
-        .groupBy("host", "path")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("p").alias("good")),
+        judged.groupBy(F.col(own[4]).alias("host"), F.col(own[5]).alias("path"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(units).alias("units"))
+        .withColumn("good", F.col("units").cast("double") * UNIT),
         "paths",
     )
     hosts = stage(
-        paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("good").alias("good")), "hosts"
+        paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("units").alias("units"))
+        .withColumn("good", F.col("units").cast("double") * UNIT),
+        "hosts",
     )
-    n, good = hosts.agg(F.sum("n"), F.sum("good")).first()
-    mean = min(max(good / n, _EDGE), 1 - _EDGE) if n else 0.5
+    n, units = hosts.agg(F.sum("n"), F.sum("units")).first()
+    mean = min(max(float(units) * UNIT / n, _EDGE), 1 - _EDGE) if n else 0.5
     host_strength = _strength(_between(hosts, F.lit(mean)), mean)
     host_rate = (F.col("good") + host_strength * mean) / (F.col("n") + host_strength)
     rated = hosts.select(F.col("host").alias("h"), host_rate.alias("host_rate"))
@@ -165,22 +183,21 @@ def score(
     site = F.col(own[3])
     prior = path_strength * site["host_rate"]
     path_rate = (prior + site["good"]) / (path_strength + site["n"])
-    joined = docs.withColumn(own[0], odds).join(
-        sites, F.col(host).eqNullSafe(F.col(own[2])) & F.col(path).eqNullSafe(F.col(own[1]))
+    joined = judged.join(
+        sites, F.col(own[4]).eqNullSafe(F.col(own[2])) & F.col(own[5]).eqNullSafe(F.col(own[1]))
     )
-    chance_own = 1 / (1 + F.exp(-F.col(own[0])))
-    others = (prior + site["good"] - chance_own) / (path_strength + site["n"] - 1)
+    others = (prior + site["good"] - chance) / (path_strength + site["n"] - 1)
     posterior = 1 / (1 + F.exp(-(F.col(own[0]) + _logit(others) - _logit(F.lit(mean)))))
     return joined.withColumn(
         own[3],
         F.struct(
-            chance_own.alias("classifier"),
+            chance.alias("classifier"),
             site["host_rate"].alias("host"),
             path_rate.alias("path"),
             posterior.alias("posterior"),
             (posterior >= keep_above).alias("kept"),
         ),
-    ).select(*docs.columns, F.col(own[3]).alias("quality"))
+    ).select(*[F.col(f"`{c}`") for c in kept], F.col(own[3]).alias("quality"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:

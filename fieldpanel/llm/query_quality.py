@@ -13,4 +13,4 @@ from fieldpanel.llm.registry import query
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its evidence, its site's posteriors and the decision."""
     docs, labels = documents(spark, sf_dir), documents(spark, sf_dir, "labels")
-    return quality.score(docs, labels).select("doc_id", "quality.*")
+    return quality.score(docs, labels, columns=["doc_id"]).select("doc_id", "quality.*")
