@@ -7,7 +7,8 @@ documents of smallest key until the rest of its token budget is used; the docume
 border is taken if that brings the source nearer to its target.
 
 The order within a source is never sorted as a whole. Keys are cut into ranges of about
-``RANGE_ROWS`` documents, ranges are summed before they are shuffled, and only the one
+``RANGE_ROWS`` documents by the share of keys expected below them, which the source's own
+histogram of weights gives; ranges are summed before they are shuffled, and only the one
 range per source that holds the border is sorted, so a source of any size takes part.
 
 Defined results: null text has size 0; null sources form one source; a missing, negative
@@ -22,7 +23,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from fieldpanel.llm.common import WORD, fresh, stage, text_of
+from fieldpanel.llm.common import WORD, fresh, stage, staging_path, text_of
 from fieldpanel.operators.ordering import running_total
 
 RANGE_ROWS = 4096
@@ -39,21 +40,44 @@ def quality_weight(text: Column) -> Column:
     return 1.0 - other / F.greatest(F.length(text), F.lit(1))
 
 
+def safe_weight(weight: Column) -> Column:
+    safe = F.when(weight > LEAST_WEIGHT, weight).otherwise(LEAST_WEIGHT)
+    return F.when(F.isnan(safe), F.lit(LEAST_WEIGHT)).otherwise(safe)
+
+
 def sampling_key(doc_id: Column, weight: Column, seed: int) -> Column:
     """``-ln(u) / weight`` with u in (0, 1) from 52 bits of a digest: reruns agree."""
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), doc_id.cast("string")))
     bits = F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint")
     u = (bits + F.lit(0.5)) / F.lit(float(2**52))
-    safe = F.when(weight > LEAST_WEIGHT, weight).otherwise(LEAST_WEIGHT)
-    return -F.log(u) / F.when(F.isnan(safe), F.lit(LEAST_WEIGHT)).otherwise(safe)
+    return -F.log(u) / weight
+
+
+def weight_bucket(weight: Column) -> Column:
+    """Number of the weight's quarter octave; those above 2**60 share the last one."""
+    return F.least(F.floor(4 * F.log2(weight)), F.lit(240).cast("bigint"))
+
+
+def share_below(key: Column, curve: Column) -> Column:
+    """Expected share of keys up to ``key``; ``curve`` holds (bucket, share) of the weights.
+
+    A sum of monotone terms in a fixed order, so it is monotone in the key.
+    """
+
+    def add(total: Column, part: Column) -> Column:
+        middle = F.pow(F.lit(2.0), (part["bucket"] + 0.5) / 4)
+        return total + part["share"] * (1 - F.exp(-key * middle))
+
+    return F.aggregate(curve, F.lit(0.0), add)
 
 
 def targets(sources: DataFrame, weights: Sequence[float], share: float, cap: float) -> DataFrame:
     """Add ``target`` to (source, source_size): ``share`` of all tokens, dealt by weight.
 
     Sources in code point order, null last, weigh ``weights``, repeating. What exceeds
-    ``cap`` times a source's size is dealt again among the rest until none is above;
-    each round is one aggregate, and every round but the last fixes a source.
+    ``cap`` times a source's size is dealt again among the rest until none is above. In the
+    order in which a rising water level caps them, running sums give every source the
+    level if it were the first not to be capped; the first one that holds is the level.
     """
     ranked = running_total(
         sources, [F.col("source").asc_nulls_last()], F.lit(1).cast("bigint"), "_rank"
@@ -66,23 +90,20 @@ def targets(sources: DataFrame, weights: Sequence[float], share: float, cap: flo
         ),
         "sources",
     )
-    total = (ranked.agg(F.sum("source_size")).first()[0] or 0) * share
-    level = 0.0
-    while True:
-        full = F.col("_cap") <= F.lit(level) * F.col("_w")
-        capped, free = ranked.agg(
-            F.sum(F.when(full, F.col("_cap")).otherwise(0.0)),
-            F.sum(F.when(full, 0.0).otherwise(F.col("_w"))),
-        ).first()
-        if not free:
-            break
-        higher = (total - capped) / free
-        if higher <= level:
-            break
-        level = higher
-    return ranked.withColumn(
-        "target", F.least(F.col("_cap"), F.lit(level) * F.col("_w"))
-    ).drop("_w", "_cap")
+    total, weighed = ranked.agg(
+        F.coalesce(F.sum("source_size"), F.lit(0)) * F.lit(float(share)), F.sum("_w")
+    ).first()
+    order = [F.col("_cap") / F.col("_w"), F.col("source").asc_nulls_last()]
+    summed = running_total(ranked, order, F.col("_cap"), "_caps")
+    summed = running_total(summed, order, F.col("_w"), "_ws")
+    level = (F.lit(total) - F.col("_caps") + F.col("_cap")) / (
+        F.lit(weighed) - F.col("_ws") + F.col("_w")
+    )
+    found = summed.where(level <= F.col("_cap") / F.col("_w")).agg(F.min_by(level, "_ws")).first()
+    aim = F.col("_cap")
+    if found[0] is not None:  # else the caps hold less than is shared
+        aim = F.least(aim, F.lit(found[0]) * F.col("_w"))
+    return ranked.withColumn("target", aim).drop("_w", "_cap")
 
 
 def mix(
@@ -96,31 +117,44 @@ def mix(
     text: str = "text",
     source: str = "source",
     quality: Column | None = None,
+    drawn_from: Column | None = None,
 ) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, copies, taken.
 
     ``copies`` is how often the mix holds the document, ``taken`` the words this makes.
+    ``drawn_from`` is what the random keys are drawn from, by default the identifier.
     """
     body = text_of(text)
+    weight = safe_weight(quality_weight(body) if quality is None else quality)
+    drawn = F.col(doc_id) if drawn_from is None else drawn_from
     sized = stage(
         docs.select(
             F.col(doc_id).alias("doc_id"),
             F.col(source).alias("source"),
             n_words(body).alias("size"),
-            sampling_key(
-                F.col(doc_id), quality_weight(body) if quality is None else quality, seed
-            ).alias("_key"),
+            sampling_key(drawn, weight, seed).alias("_key"),
+            weight_bucket(weight).alias("_bucket"),
         ),
         "sized",
     )
-    sums = sized.groupBy("source").agg(
-        F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_n")
+    sums = (
+        sized.groupBy("source", "_bucket")
+        .agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
+        .groupBy("source")
+        .agg(
+            F.sum("size").alias("source_size"), F.sum("n").alias("_n"),
+            F.array_sort(F.collect_list(F.struct(F.col("_bucket").alias("bucket"), "n")))
+            .alias("_weights"),
+        )
+    )
+    curve = F.transform(
+        "_weights", lambda w: F.struct(w["bucket"], (w["n"] / F.col("_n")).alias("share"))
     )
-    sources = stage(sums, "source_sizes")
+    sources = stage(sums.withColumn("_curve", curve).drop("_weights"), "source_sizes")
     budget = targets(sources.select("source", "source_size"), weights, share, cap)
     same = F.col("s.source").eqNullSafe(F.col("b.source"))
     budget = sources.alias("s").join(budget.alias("b"), same).select(
-        "s.source", "s.source_size", "_n", "target"
+        "s.source", "s.source_size", "_n", "_curve", "target"
     )
     epochs = F.floor(F.try_divide("target", "source_size"))
     budget = stage(
@@ -130,11 +164,11 @@ def mix(
         "budgets",
     )
 
-    # ranges of keys: 1 - exp(-key) is even on [0, 1) for weights near 1, and monotone
-    place = F.floor((1 - F.exp(-F.col("_key"))) * F.col("_ranges"))
+    place = F.floor(share_below(F.col("_key"), F.col("_curve")) * F.col("_ranges"))
     same = F.col("d.source").eqNullSafe(F.col("b.source"))
     ranged = sized.alias("d").join(budget.alias("b"), same).select(
-        "d.*", *[c for c in budget.columns if c != "source"],
+        *[f"d.{c}" for c in sized.columns if c != "_bucket"],
+        *[c for c in budget.columns if c not in ("source", "_curve", "_n")],
         F.least(place, F.col("_ranges") - 1).alias("_range"),
     )
     before = Window.partitionBy("source").orderBy("_range")
@@ -172,25 +206,32 @@ def mixed(
 ) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, columns unchanged.
 
-    Rows that repeat an identifier are told apart by a digest of their text.
+    ``docs`` is written to the shared folder first, so that a row is known by its file and
+    number there; of rows that repeat an identifier and a text each has its own copies.
     """
-    own = fresh(docs.columns, "_mix_id", "_mix_digest", "_mix_at", "_mix_copies")
-    digest = F.xxhash64(text_of(text))
+    spark = docs.sparkSession
+    path = staging_path(spark, "mixing")
+    docs.write.parquet(path)
+    landed = spark.read.schema(docs.schema).parquet(path)
+    own = fresh(
+        docs.columns, "_mix_file", "_mix_row", "_mix_at", "_mix_copies", "_in_file", "_in_row"
+    )
+    file, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    drawn = F.struct(F.col(doc_id).cast("bigint").alias("id"), F.xxhash64(text_of(text)).alias("d"))
     plan = mix(
-        docs.select(
-            F.struct(F.col(doc_id).alias("id"), digest.alias("digest")).cast(
-                "struct<id:bigint,digest:bigint>"
-            ).alias("doc_id"),
+        landed.select(
+            F.struct(drawn.alias("drawn"), file.alias("file"), row.alias("row")).alias("doc_id"),
             F.col(text).alias("text"),
             F.col(source).alias("source"),
-        )
+        ),
+        drawn_from=F.col("doc_id.drawn"),
     )
-    # equal identifier and text: each of n rows takes its share of what the group takes
-    copies = plan.groupBy("doc_id").agg(F.sum("copies").alias("c"), F.count(F.lit(1)).alias("n"))
-    copies = copies.where(F.col("c") > 0).select(
-        F.col("doc_id.id").alias(own[0]), F.col("doc_id.digest").alias(own[1]),
-        F.ceil(F.col("c") / F.col("n")).cast("int").alias(own[3]),
+    copies = plan.where(F.col("copies") > 0).select(
+        F.col("doc_id.file").alias(own[0]), F.col("doc_id.row").alias(own[1]),
+        F.col("copies").cast("int").alias(own[3]),
     )
-    same = F.col(doc_id).cast("bigint").eqNullSafe(F.col(own[0])) & (digest == F.col(own[1]))
+    same = (F.col(own[4]) == F.col(own[0])) & (F.col(own[5]) == F.col(own[1]))
     times = F.explode(F.array_repeat(F.lit(0), F.col(own[3]))).alias(own[2])
-    return docs.join(stage(copies, "copies"), same).select(*docs.columns, times).drop(own[2])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    placed = landed.select(*columns, file.alias(own[4]), row.alias(own[5]))
+    return placed.join(stage(copies, "copies"), same).select(*columns, times).drop(own[2])
