@@ -20,7 +20,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from fieldpanel.llm.common import fresh, stage, staging_path
+from fieldpanel.llm.common import fresh, shuffle_width, stage, staging_path
 
 # Each open RocksDB store holds 4 MB of disk, however small: a task closes its own once
 # its state is in the shared checkpoint.
@@ -138,6 +138,26 @@ def ingest(
     return found.groupBy("digest").agg(newest).select("digest", "newest.*")
 
 
+def _spread(rows: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both with column ``salt``, over which the rows of a hot digest are dealt.
+
+    A digest is hot if it holds more than one shuffle partition's share of the rows, so
+    there are fewer hot ones than shuffle partitions: few enough to broadcast.
+    """
+    width = shuffle_width(rows.sparkSession)
+    total = state.agg(F.sum("group_size")).first()[0] or 0
+    is_hot = F.col("group_size") * width > F.lit(total)
+    hot = state.where(is_hot).select(F.col("digest").alias("hot"))
+    salts = F.sequence(F.lit(0), F.lit(width - 1))
+    marked = rows.join(F.broadcast(hot), F.col("digest") == F.col("hot"), "left")
+    salt = F.when(F.col("hot").isNull(), 0).otherwise(F.pmod(F.xxhash64("at"), F.lit(width)))
+    copies = F.explode(F.when(is_hot, salts).otherwise(F.array(F.lit(0))))
+    return (
+        marked.withColumn("salt", salt.cast("int")).drop("hot"),
+        state.withColumn("salt", copies),
+    )
+
+
 def deduplicate(
     spark: SparkSession,
     path: str,
@@ -162,20 +182,16 @@ def deduplicate(
     state = stage(state, "digests")
     scan = _located(files, doc_id, text, normalise).withColumn("digest", digest(F.col("content")))
 
-    # The bytes of every group with a hit, next to those of the row that stays.
-    hit = state.where(F.col("group_size") > 1).select("digest", "keep.at")
-    hit = hit.withColumnRenamed("at", "keep_at")
-    texts = stage(scan.join(hit, "digest"), "hits")
-    keepers = texts.where(F.col("at") == F.col("keep_at")).select(
-        "digest", F.col("content").alias("keep_content")
-    )
+    # Every hit's bytes: equal contents of a digest collapse where they are read and meet by
+    # (digest, content), so a group of copies travels once per task; what is left over a
+    # digest with several contents is a collision.
     collided = (
-        texts.join(keepers, "digest")
-        .where(F.col("content") != F.col("keep_content"))
+        scan.groupBy("digest")
+        .agg(F.count_distinct("content").alias("contents"))
+        .where(F.col("contents") > 1)
         .select("digest")
-        .distinct()
     )
-    apart = stage(texts.join(collided, "digest", "left_semi"), "collisions")
+    apart = stage(scan.join(stage(collided, "collided"), "digest", "left_semi"), "collisions")
     by_text = apart.groupBy("content").agg(
         F.max(F.struct("doc_id", "at")).alias("true_keep"),
         F.count(F.lit(1)).alias("true_size"),
@@ -183,9 +199,10 @@ def deduplicate(
     mended = apart.join(by_text, "content").select("at", "true_keep", "true_size")
 
     rows = scan.select("doc_id", "at", "digest", sha256(F.col("content")).alias("text_sha256"))
+    rows, state = _spread(rows, state)
     keep, size = F.coalesce("true_keep", "keep"), F.coalesce("true_size", "group_size")
     return (
-        rows.join(state, "digest")
+        rows.join(state, ["digest", "salt"])
         .join(mended, "at", "left")
         .select(
             "doc_id",
