@@ -23,11 +23,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from fieldpanel.llm.common import WORD, fresh, stage, staging_path, text_of
+from fieldpanel.llm.common import WORD, fresh, stage, text_of
 from fieldpanel.operators.ordering import running_total
 
 RANGE_ROWS = 4096
 LEAST_WEIGHT = 1e-3
+MEASURES = ["size", "_key", "_bucket"]
 
 
 def n_words(text: Column) -> Column:
@@ -71,6 +72,14 @@ def share_below(key: Column, curve: Column) -> Column:
     return F.aggregate(curve, F.lit(0.0), add)
 
 
+def measures(
+    body: Column, drawn: Column, seed: int = 7, quality: Column | None = None
+) -> list[Column]:
+    """The columns ``MEASURES`` of a document: its words, random key and weight bucket."""
+    weight = safe_weight(quality_weight(body) if quality is None else quality)
+    return [n_words(body), sampling_key(drawn, weight, seed), weight_bucket(weight)]
+
+
 def targets(sources: DataFrame, weights: Sequence[float], share: float, cap: float) -> DataFrame:
     """Add ``target`` to (source, source_size): ``share`` of all tokens, dealt by weight.
 
@@ -124,19 +133,28 @@ def mix(
     ``copies`` is how often the mix holds the document, ``taken`` the words this makes.
     ``drawn_from`` is what the random keys are drawn from, by default the identifier.
     """
-    body = text_of(text)
-    weight = safe_weight(quality_weight(body) if quality is None else quality)
     drawn = F.col(doc_id) if drawn_from is None else drawn_from
-    sized = stage(
-        docs.select(
-            F.col(doc_id).alias("doc_id"),
-            F.col(source).alias("source"),
-            n_words(body).alias("size"),
-            sampling_key(drawn, weight, seed).alias("_key"),
-            weight_bucket(weight).alias("_bucket"),
-        ),
-        "sized",
+    measured = measures(text_of(text), drawn, seed, quality)
+    sized = docs.select(
+        F.col(doc_id).alias("doc_id"),
+        F.col(source).alias("source"),
+        *[value.alias(name) for name, value in zip(MEASURES, measured)],
     )
+    plan = deal(stage(sized, "sized"), weights, share, cap)
+    return plan.drop("_key", "_epochs").withColumn("taken", F.col("copies") * F.col("size"))
+
+
+def deal(
+    sized: DataFrame,
+    weights: Sequence[float] = (3, 1, 2),
+    share: float = 1.5,
+    cap: float = 2.0,
+) -> DataFrame:
+    """The mix of a written table (doc_id, source and ``MEASURES``), one row per document.
+
+    Columns: doc_id, source, size, source_size, target, _key, _epochs, copies. Of a source's
+    documents by (_key, doc_id, size) the first ones have one copy more than ``_epochs``.
+    """
     sums = (
         sized.groupBy("source", "_bucket")
         .agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
@@ -189,7 +207,7 @@ def mix(
     inside = Window.partitionBy("source", "_range").orderBy("_key", "doc_id", "size")
     inside = inside.rowsBetween(Window.unboundedPreceding, 0)
     first = F.col("_start") + F.sum("size").over(inside) - F.col("size")
-    columns = ["doc_id", "source", "size", "source_size", "target"]
+    columns = ["doc_id", "source", "size", "source_size", "target", "_key", "_epochs"]
     border = placed.where("_border").withColumn("_first", first).select(
         *columns, (F.col("_epochs") + (F.col("_first") + F.col("size") / 2 <= F.col("_rest"))
                    .cast("bigint")).alias("copies"),
@@ -198,7 +216,7 @@ def mix(
         *columns,
         (F.col("_epochs") + (F.col("_start") <= F.col("_rest")).cast("bigint")).alias("copies"),
     )
-    return whole.unionAll(border).withColumn("taken", F.col("copies") * F.col("size"))
+    return whole.unionAll(border)
 
 
 def mixed(
@@ -206,32 +224,40 @@ def mixed(
 ) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, columns unchanged.
 
-    ``docs`` is written to the shared folder first, so that a row is known by its file and
-    number there; of rows that repeat an identifier and a text each has its own copies.
+    ``docs`` is written to the shared folder first with its measures, so that a row is known by
+    its file and number there; of rows that repeat an identifier and a text each has its own
+    copies. The mix ends at one row of every source, and whether a row comes before that one
+    shows in the row itself, so texts are neither measured twice nor shuffled.
     """
-    spark = docs.sparkSession
-    path = staging_path(spark, "mixing")
-    docs.write.parquet(path)
-    landed = spark.read.schema(docs.schema).parquet(path)
     own = fresh(
-        docs.columns, "_mix_file", "_mix_row", "_mix_at", "_mix_copies", "_in_file", "_in_row"
+        docs.columns, "_mix_drawn", "_mix_size", "_mix_key", "_mix_bucket", "_mix_at",
+        "_mix_source", "_mix_epochs", "_mix_last", "_mix_copy",
     )
-    file, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
     drawn = F.struct(F.col(doc_id).cast("bigint").alias("id"), F.xxhash64(text_of(text)).alias("d"))
-    plan = mix(
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    measured = zip(own, [drawn, *measures(text_of(text), drawn)])
+    landed = stage(docs.select(*columns, *[value.alias(name) for name, value in measured]), "mixing")
+    at = F.struct(
+        F.col(own[0]).alias("drawn"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.row_index").alias("row"),
+    )
+    plan = deal(
         landed.select(
-            F.struct(drawn.alias("drawn"), file.alias("file"), row.alias("row")).alias("doc_id"),
-            F.col(text).alias("text"),
-            F.col(source).alias("source"),
+            at.alias("doc_id"), F.col(source).alias("source"),
+            *[F.col(n).alias(name) for n, name in zip(own[1:], MEASURES)],
+        )
+    )
+    more = F.when(F.col("copies") > F.col("_epochs"), F.struct("_key", "doc_id"))
+    last = stage(
+        plan.groupBy(F.col("source").alias(own[5])).agg(
+            F.min("_epochs").alias(own[6]), F.max(more).alias(own[7])
         ),
-        drawn_from=F.col("doc_id.drawn"),
+        "last",
     )
-    copies = plan.where(F.col("copies") > 0).select(
-        F.col("doc_id.file").alias(own[0]), F.col("doc_id.row").alias(own[1]),
-        F.col("copies").cast("int").alias(own[3]),
+    placed = landed.select(
+        *columns, F.struct(F.col(own[2]).alias("_key"), at.alias("doc_id")).alias(own[4])
     )
-    same = (F.col(own[4]) == F.col(own[0])) & (F.col(own[5]) == F.col(own[1]))
-    times = F.explode(F.array_repeat(F.lit(0), F.col(own[3]))).alias(own[2])
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    placed = landed.select(*columns, file.alias(own[4]), row.alias(own[5]))
-    return placed.join(stage(copies, "copies"), same).select(*columns, times).drop(own[2])
+    copies = F.col(own[6]) + F.coalesce(F.col(own[4]) <= F.col(own[7]), F.lit(False)).cast("bigint")
+    times = F.explode(F.array_repeat(F.lit(0), copies.cast("int"))).alias(own[8])
+    same = F.col(source).eqNullSafe(F.col(own[5]))
+    return placed.join(last, same).select(*columns, times).drop(own[8])

@@ -70,6 +70,28 @@ def test_repeated_rows_take_what_the_plan_gives(spark):
     assert taken == pytest.approx(1.5 * (27 + 80), abs=5)
 
 
+def test_mixed_rows_follow_the_plan_without_a_shuffle_of_texts(spark):
+    """Every row as often as the plan says, though the plan is too large to broadcast."""
+    docs = spark.range(40_000).select(
+        F.col("id").alias("doc_id"),
+        F.expr("repeat(concat('w', id % 7, ' '), int(id % 5))").alias("text"),
+        F.expr("if(id % 4 = 0, null, concat('s', id % 4))").alias("source"),
+    )
+    key = F.struct("doc_id", F.xxhash64("text").alias("d"))
+    plan = mixture.mix(docs.withColumn("doc_id", key)).collect()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+    try:
+        out = mixture.mixed(docs)
+        got = Counter(r.doc_id for r in out.collect())
+        shown = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == Counter({r.doc_id.doc_id: r.copies for r in plan if r.copies})
+    assert len({r.copies for r in plan}) > 1
+    assert "hashpartitioning" not in shown
+
+
 def test_hot_text_is_dealt_over_tasks(spark, tmp_path):
     """A text that holds half of all rows, with weak digests too; results as counted plainly."""
     texts = ["hot"] * 300 + [f"cold {i % 150}" for i in range(300)] + [None, "", "hot!"]

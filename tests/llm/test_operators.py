@@ -256,6 +256,20 @@ def test_components_of_a_long_chain(spark):
     assert len(got) == 201 and {r.root for r in got} == {0}
 
 
+def test_components_of_stars_need_one_round(spark, monkeypatch):
+    """Pairs and stars are done after one round; no further round is written to find that out."""
+    written = []
+    kept = components.__globals__["stage"]
+    monkeypatch.setitem(
+        components.__globals__, "stage", lambda df, name: written.append(name) or kept(df, name)
+    )
+    pairs = [(10, 11), (11, 10), (7, 3), (20, 21), (20, 22), (23, 20), (5, 5)]
+    got = components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()
+    want = {10: 10, 11: 10, 3: 3, 7: 3, 20: 20, 21: 20, 22: 20, 23: 20}
+    assert len(got) == len(want) and {r.node: r.root for r in got} == want
+    assert len(written) == 2  # the links and one round
+
+
 def test_quality_on_held_out_labels(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
