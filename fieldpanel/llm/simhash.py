@@ -154,14 +154,23 @@ def _keyed(distinct: DataFrame, probe: bool, name: str) -> DataFrame:
 
 
 def links(distinct: DataFrame) -> DataFrame:
-    """(a, b), a < b: all pairs of distinct fingerprints (fp) within three bits."""
-    pairs = _keyed(distinct, False, "a").join(_keyed(distinct, True, "b"), "key")
+    """(a, b), a < b: all pairs of distinct fingerprints (fp) within three bits.
+
+    Spark takes a keyed table for little more than the file of ``distinct``, but it has up to
+    20 or 30 rows per fingerprint, so the join is told to shuffle both and broadcast neither.
+    """
+    probes = _keyed(distinct, True, "b").hint("merge")
+    pairs = _keyed(distinct, False, "a").join(probes, "key")
     differing = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
     return pairs.where((F.col("a") < F.col("b")) & (differing <= MAX_BITS)).select("a", "b")
 
 
 def _groups(marked: DataFrame) -> DataFrame:
-    """(fp, root, component_id) of every distinct fingerprint; root is its least linked one."""
+    """(fp, root, component_id) of every distinct fingerprint; root is its least linked one.
+
+    A join with it shuffles: rows that repeat in the other table shrink its file, by whose size
+    Spark would broadcast that table.
+    """
     distinct = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct")
     found = components(links(distinct).distinct())
     rooted = distinct.join(found, F.col("fp") == F.col("node"))
@@ -173,7 +182,7 @@ def _groups(marked: DataFrame) -> DataFrame:
     return distinct.join(linked, F.col("fp") == F.col("node"), "left").select(
         "fp", F.coalesce("root", "fp").alias("root"),
         F.coalesce("component", "low").alias("component_id"),
-    )
+    ).hint("merge")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

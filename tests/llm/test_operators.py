@@ -225,6 +225,35 @@ def test_golay_keys_meet_for_every_link():
     assert (simhash.golay_index() >= 0).all()
 
 
+def test_simhash_keys_are_not_broadcast(spark, tmp_path):
+    """A fingerprint's many keys are not in the size that Spark takes the keyed table for."""
+    draw = random.Random(5)
+    fps = [draw.getrandbits(64) for _ in range(300)]
+    fps += [a ^ sum(1 << bit for bit in draw.sample(range(64), 3)) for a in fps[:60]]
+    fps = sorted({a - (a >> 63 << 64) for a in fps})
+    spark.createDataFrame([(a,) for a in fps], "fp bigint").write.parquet(str(tmp_path / "fps"))
+    found = simhash.links(spark.read.parquet(str(tmp_path / "fps")))
+    got = sorted(map(tuple, found.collect()))
+    want = [(a, b) for a in fps for b in fps if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= 3]
+    assert sorted(set(got)) == want and len(want) == 60
+    shown = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in shown and "Broadcast" not in shown
+
+
+def test_simhash_rows_are_not_broadcast(spark, monkeypatch):
+    """Rows that repeat take no room in a file, so their number does not show in its size."""
+    rows = spark.range(20_000).select(
+        F.lit(None).cast("bigint").alias("doc_id"), (F.col("id") % 2).alias("fp")
+    )
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, *_: docs)
+    found = simhash.near_duplicates(rows)
+    assert sorted((r.fp, r["count"]) for r in found.groupBy("fp").count().collect()) == [
+        (0, 10_000), (1, 10_000)
+    ]
+    shown = found._jdf.queryExecution().executedPlan().toString()
+    assert shown[: shown.index("Join")].endswith("SortMerge")
+
+
 def test_simhash_of_odd_rows(spark):
     got = {r.doc_id: r for r in simhash.near_duplicates(odd(spark)).collect()}
     assert got[2].fp == got[3].fp == 0 and got[3].component_id == 2
